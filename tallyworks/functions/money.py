@@ -9,12 +9,12 @@ from tallyworks.schemas import MONEY
 
 
 def exact_gross(quantity: Column, unit_price: Column) -> Column:
-    return quantity.cast("decimal(10,0)") * unit_price.cast("decimal(12,2)")
+    return quantity.try_cast("decimal(10,0)") * unit_price.try_cast("decimal(12,2)")
 
 
 def exact_discount(quantity: Column, unit_price: Column, rate: Column) -> Column:
     # decimal(23,2) by decimal(13,12) stays within 38 digits, so the product is exact
-    return exact_gross(quantity, unit_price) * rate.cast("decimal(13,12)")
+    return exact_gross(quantity, unit_price) * rate.try_cast("decimal(13,12)")
 
 
 def exact_net(quantity: Column, unit_price: Column, rate: Column) -> Column:
