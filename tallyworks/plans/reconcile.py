@@ -70,7 +70,6 @@ def recomputed_measures(facts: DataFrame, staged: DataFrame) -> DataFrame:
 
 def orphans(facts: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Check 3: fact rows whose key no dimension row has."""
-    total = F.coalesce(F.sum("n"), F.lit(0))
     lost_customers = orphan_counts(facts, customers, "customer_key").select(
         F.col("n").alias("c"), F.lit(0).alias("p")
     )
