@@ -32,8 +32,8 @@ UNIQUE = {
 def row_violations(df: DataFrame, name: str) -> DataFrame:
     """NOT NULL and value checks of one table, all in one pass over it."""
     required = [
-        f.name for f in TABLES[name].fields
-        if f.name in df.columns and f.name not in NULLABLE[name]
+        column for column in TABLES[name]
+        if column in df.columns and column not in NULLABLE[name]
     ]
     broken = {f"{c} not null": F.col(c).isNull() for c in required}
     broken |= {label: ~holds for label, holds in value_checks(name).items()}

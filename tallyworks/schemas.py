@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The seven columns of a sales file, in their canonical order.
 SALES_FIELDS = (
     "order_id",
@@ -64,52 +62,87 @@ PREVIEW_COLUMNS = (
     "source_file",
 )
 
-PRICE = T.DecimalType(12, 2)
-RATE = T.DecimalType(5, 4)
-MONEY = T.DecimalType(14, 2)
+PRICE = "decimal(12,2)"
+RATE = "decimal(5,4)"
+MONEY = "decimal(14,2)"
 
 
-def _table(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+# Columns and types of the warehouse tables.
+TABLES: dict[str, dict[str, str]] = {
+    "stg_sales": {
+        "run_id": "string",
+        "source_file": "string",
+        "row_num": "bigint",
+        "order_id": "bigint",
+        "order_date": "date",
+        "customer_id": "string",
+        "product_id": "string",
+        "quantity": "int",
+        "unit_price": "decimal(12,2)",
+        "discount_rate": "decimal(5,4)",
+        "loaded_at": "timestamp",
+    },
+    "fact_sales": {
+        "sales_key": "bigint",
+        "order_id": "bigint",
+        "order_date": "date",
+        "customer_key": "bigint",
+        "product_key": "bigint",
+        "quantity": "int",
+        "unit_price": "decimal(12,2)",
+        "discount_rate": "decimal(5,4)",
+        "gross_sales": "decimal(14,2)",
+        "discount_amount": "decimal(14,2)",
+        "net_sales": "decimal(14,2)",
+        "run_id": "string",
+        "loaded_at": "timestamp",
+        "source_file": "string",
+    },
+    "etl_rejected_sales": {
+        "rejected_id": "bigint",
+        "run_id": "string",
+        "source_file": "string",
+        "row_num": "bigint",
+        "raw_payload": "string",
+        "reason_code": "string",
+        "reason_detail": "string",
+        "reason_codes": "array<string>",
+        "rejected_at": "timestamp",
+    },
+    "dim_customers": {
+        "customer_key": "bigint",
+        "customer_id": "string",
+        "customer_name": "string",
+        "region": "string",
+        "segment": "string",
+        "signup_date": "date",
+        "updated_at": "timestamp",
+    },
+    "dim_products": {
+        "product_key": "bigint",
+        "product_id": "string",
+        "product_name": "string",
+        "category": "string",
+        "list_price": "decimal(12,2)",
+        "updated_at": "timestamp",
+    },
+    "etl_run_log": {
+        "run_id": "string",
+        "source_file": "string",
+        "started_at": "timestamp",
+        "finished_at": "timestamp",
+        "rows_extracted": "bigint",
+        "rows_valid": "bigint",
+        "rows_rejected": "bigint",
+        "rows_loaded": "bigint",
+        "status": "string",
+    },
+}
 
 
-STG_SALES = _table(
-    "run_id string, source_file string, row_num bigint, order_id bigint, order_date date, "
-    "customer_id string, product_id string, quantity int, unit_price decimal(12,2), "
-    "discount_rate decimal(5,4), loaded_at timestamp"
-)
-FACT_SALES = _table(
-    "sales_key bigint, order_id bigint, order_date date, customer_key bigint, product_key bigint, "
-    "quantity int, unit_price decimal(12,2), discount_rate decimal(5,4), "
-    "gross_sales decimal(14,2), discount_amount decimal(14,2), net_sales decimal(14,2), "
-    "run_id string, loaded_at timestamp, source_file string"
-)
-REJECTED_SALES = _table(
-    "rejected_id bigint, run_id string, source_file string, row_num bigint, raw_payload string, "
-    "reason_code string, reason_detail string, reason_codes array<string>, rejected_at timestamp"
-)
-DIM_CUSTOMERS = _table(
-    "customer_key bigint, customer_id string, customer_name string, region string, "
-    "segment string, signup_date date, updated_at timestamp"
-)
-DIM_PRODUCTS = _table(
-    "product_key bigint, product_id string, product_name string, category string, "
-    "list_price decimal(12,2), updated_at timestamp"
-)
-RUN_LOG = _table(
-    "run_id string, source_file string, started_at timestamp, finished_at timestamp, "
-    "rows_extracted bigint, rows_valid bigint, rows_rejected bigint, rows_loaded bigint, "
-    "status string"
-)
+def ddl(columns: dict[str, str]) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in columns.items())
 
-TABLES = {
-    "stg_sales": STG_SALES,
-    "fact_sales": FACT_SALES,
-    "etl_rejected_sales": REJECTED_SALES,
-    "dim_customers": DIM_CUSTOMERS,
-    "dim_products": DIM_PRODUCTS,
-    "etl_run_log": RUN_LOG,
-}
 
 # Columns that may hold nulls; every other one is NOT NULL.
 NULLABLE = {

@@ -40,7 +40,7 @@ def coded(prefix: str, key: str) -> Column:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incoming customer attributes, without keys."""
+    """The customer dimension; its key is the table's own."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     placed = nation.join(region, nation.n_regionkey == region.r_regionkey)
@@ -65,7 +65,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, sf_dir: str, space: Workspace) -> DataFrame:
     """Lineitem with ``row_num``, the place of the row in the table, counted from 2.
 
     The reader knows each row's place in its file; only the row counts of the files are put in
@@ -76,9 +76,9 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_index"),
     )
-    files = block_offsets(
-        lines.groupBy("_file").agg(F.count(F.lit(1)).alias("n")), "_file"
-    ).select("_file", "offset")
+    counts = lines.groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
+    # written first: one small row per file is then joined by its true size
+    files = space.settle(block_offsets(counts, "_file").select("_file", "offset"), "file-offsets")
     return (
         lines.join(files, "_file")
         .withColumn("row_num", F.col("offset") + F.col("_index") + 2)
@@ -127,7 +127,7 @@ def fact_lines(spark: SparkSession, sf_dir: str, orders: bool = True) -> DataFra
 
 def raw_feed(spark: SparkSession, sf_dir: str, space: Workspace) -> DataFrame:
     """The lines as raw text rows, with faults planted by part key; written once."""
-    lines = _joined(numbered_lines(spark, sf_dir), spark, sf_dir, orders=True)
+    lines = _joined(numbered_lines(spark, sf_dir, space), spark, sf_dir, orders=True)
     remainder = F.pmod("l_partkey", F.lit(PLANT_CYCLE))
     number = F.expr(ORDER_ID).cast("string")
     price = F.col("unit_price").cast("string")
