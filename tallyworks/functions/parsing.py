@@ -70,8 +70,10 @@ def decimal_places(text: Column) -> Column:
     """Digits after the point less the exponent, as written: 25.000 has three."""
     plain = F.translate(text, "_", "")
     fraction = F.length(F.regexp_extract(plain, r"\.([0-9]*)", 1))
-    exponent = F.regexp_extract(plain, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int")
-    return fraction - F.coalesce(exponent, F.lit(0))
+    written = F.regexp_extract(plain, r"[eE]([+-]?[0-9]+)$", 1)
+    # a failing cast is far dearer than the test that avoids it
+    exponent = F.when(written != "", written.try_cast("int")).otherwise(F.lit(0))
+    return fraction - exponent
 
 
 def is_negative(text: Column) -> Column:

@@ -3,27 +3,36 @@
 Rules are listed in the order their defects are reported: by tier, then by column. Each is one
 predicate; a null predicate, as over a value that did not parse, does not fire. So a missing
 or unreadable field silences the later rules on that field and no others.
+
+A verdict is one bigint, ``fired``, with one bit per rule in that order; zero is a clean row.
+The texts that explain it are made for rejected rows only.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import parsing as P
 from tallyworks.functions.money import with_measures
-from tallyworks.schemas import KEY_NORMALIZED, PRICE, RATE, SALES_FIELDS
+from tallyworks.schemas import KEY_NORMALIZED, PRICE, RATE, ROW_CODES, SALES_FIELDS
 from tallyworks.workspace import Workspace
 
 DEFAULT_MAX_QUANTITY = 1000
 
+IS_CLEAN = "fired = 0"
+
 # Precedence tiers; the lowest one to fire gives the primary code.
 MISSING, PARSE, RANGE, FOREIGN_KEY, FILE_SCOPE = 1, 2, 3, 4, 5
 DETAIL_SEPARATOR = " | "
 
+# The code of each bit of a verdict: seven missing fields, then the other codes in their order.
+RULE_CODES = (*["MISSING_FIELD"] * len(SALES_FIELDS), *ROW_CODES[1:])
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -33,44 +42,31 @@ class Rule:
     fires: Column
     detail: Column
 
-    def defect(self) -> Column:
-        return F.when(
-            self.fires,
-            F.struct(
-                F.lit(self.tier).alias("tier"),
-                F.lit(self.field).alias("field"),
-                F.lit(self.code).alias("code"),
-                self.detail.alias("detail"),
-            ),
-        )
 
+def _with_text(rows: DataFrame) -> DataFrame:
+    """Add the struct ``text``: the raw fields, trimmed."""
+    fields = [P.trimmed(F.col(f"raw.{c}")).alias(c) for c in SALES_FIELDS]
+    return rows.withColumn("text", F.struct(*fields))
 
-def parsed(raw: DataFrame) -> DataFrame:
-    """Keep the raw fields in a struct ``raw`` and add the typed values beside it.
 
-    ``text`` holds the trimmed fields. A quantity beyond 64 bits is held at the bound, so that
-    the range rules still see it.
+def parsed(raw: DataFrame) -> DataFrame:
+    """Keep the raw fields in a struct ``raw``, their trimmed form in ``text``, and add the typed
+    values. A quantity beyond 64 bits is held at the bound, so the range rules still see it.
     """
-    rows = raw.select(
-        "source_file",
-        "row_num",
-        F.struct(*SALES_FIELDS).alias("raw"),
-        F.struct(*[P.trimmed(F.col(c)).alias(c) for c in SALES_FIELDS]).alias("text"),
-    )
-    quantity = F.col("text.quantity")
-    price = F.col("text.unit_price")
-    marked = price.rlike(P.CURRENCY_MARKS)
+    rows = _with_text(raw.select("source_file", "row_num", F.struct(*SALES_FIELDS).alias("raw")))
+    quantity, price = F.col("text.quantity"), F.col("text.unit_price")
     bound = F.when(quantity.startswith("-"), F.lit(-(2**63))).otherwise(F.lit(2**63 - 1))
+    key = {c: F.upper(F.col(f"text.{c}")) for c in ("customer_id", "product_id")}
     return rows.withColumns(
         {
             "order_id": P.to_integer(F.col("text.order_id")),
             "order_date": P.to_iso_date(F.col("text.order_date")),
-            "customer_id": F.nullif(P.normal_key(F.col("raw.customer_id")), F.lit("")),
-            "product_id": F.nullif(P.normal_key(F.col("raw.product_id")), F.lit("")),
+            **{c: F.when(value != "", value) for c, value in key.items()},
             "quantity": F.coalesce(
                 P.to_integer(quantity), F.when(P.is_integer(quantity), bound)
             ),
-            "unit_price": F.when(~marked, P.to_decimal(price)),
+            # no text with a currency mark parses
+            "unit_price": P.to_decimal(price),
             "discount_rate": P.to_decimal(F.col("text.discount_rate")),
         }
     )
@@ -201,9 +197,19 @@ def reference_rules() -> list[Rule]:
     ]
 
 
-def defects_of(rules: list[Rule]) -> Column:
-    """The defects that fired, in the order of the rules, so no row is ever sorted."""
-    return F.array_compact(F.array(*[rule.defect() for rule in rules]))
+def all_rules(today: dt.date, max_quantity: int) -> list[Rule]:
+    return row_rules(today, max_quantity) + reference_rules()
+
+
+def bits_of(rules: list[Rule], first: int = 0) -> Column:
+    """The bits of the rules that fire; the first rule has bit ``first``."""
+    bits = [F.when(r.fires, F.lit(1 << (first + i))).otherwise(F.lit(0)).cast("bigint")
+            for i, r in enumerate(rules)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def has_bit(position: int) -> Column:
+    return F.col("fired").bitwiseAND(F.lit(1 << position).cast("bigint")) != 0
 
 
 def unknown_keys(rows: DataFrame, dim: DataFrame, key: str, flag: str) -> DataFrame:
@@ -222,12 +228,11 @@ def first_accepted(rows: DataFrame) -> DataFrame:
     A later row is a duplicate exactly when its number is above this one, so no running state
     is kept. Minimum and maximum are combined before the shuffle, and ids used once drop out.
     """
-    clean = ~F.col("is_defective")
     return (
         rows.where(F.col("order_id").isNotNull())
         .groupBy("source_file", "order_id")
         .agg(
-            F.min(F.when(clean, F.col("row_num"))).alias("first_accepted"),
+            F.min(F.when(F.expr(IS_CLEAN), F.col("row_num"))).alias("first_accepted"),
             F.max("row_num").alias("last_row"),
         )
         .where("last_row > first_accepted")
@@ -243,13 +248,14 @@ def judge(
     space: Workspace,
     max_quantity: int = DEFAULT_MAX_QUANTITY,
 ) -> DataFrame:
-    """Judge raw rows: ``parsed`` columns plus ``defects``, in order of precedence.
+    """Judge raw rows: the ``parsed`` columns and the verdict ``fired``.
 
     The wide rows are never regrouped. Narrow aggregates find the exceptions (unknown ids,
     repeated order ids), which are written and joined back: broadcast where their known size
     allows, sort-merged with runtime skew splitting where it does not.
     """
-    rows = parsed(raw).withColumn("row_defects", defects_of(row_rules(today, max_quantity)))
+    early = row_rules(today, max_quantity)
+    rows = parsed(raw).withColumn("fired", bits_of(early)).drop("text")
     rows = space.settle(rows, "rows")
     bad_customers = space.settle(
         unknown_keys(rows, customers, "customer_id", "unknown_customer"), "unknown-customers"
@@ -260,16 +266,16 @@ def judge(
     keyed = rows.join(bad_customers, "customer_id", "left").join(
         bad_products, "product_id", "left"
     )
-    defective = (
-        (F.size("row_defects") > 0)
-        | F.col("unknown_customer").isNotNull()
-        | F.col("unknown_product").isNotNull()
-    )
-    repeats = space.settle(first_accepted(keyed.withColumn("is_defective", defective)), "repeats")
+    *foreign, duplicate = reference_rules()
+    keyed = keyed.withColumn(
+        "fired", F.col("fired").bitwiseOR(bits_of(foreign, len(early)))
+    ).drop("unknown_customer", "unknown_product")
+    repeats = space.settle(first_accepted(keyed), "repeats")
     judged = keyed.join(repeats, ["source_file", "order_id"], "left")
+    last_bit = bits_of([duplicate], len(early) + len(foreign))
     return judged.select(
         "source_file", "row_num", "raw", *SALES_FIELDS,
-        F.concat("row_defects", defects_of(reference_rules())).alias("defects"),
+        F.col("fired").bitwiseOR(last_bit).alias("fired"),
     )
 
 
@@ -278,7 +284,7 @@ def accepted(judged: DataFrame) -> DataFrame:
 
     The measures use the discount rate as it was read; the stored rate has four decimals.
     """
-    clean = judged.where(F.size("defects") == 0).withColumns(
+    clean = judged.where(IS_CLEAN).withColumns(
         {
             "quantity": F.col("quantity").try_cast("int"),
             "unit_price": F.col("unit_price").try_cast(PRICE),
@@ -287,26 +293,39 @@ def accepted(judged: DataFrame) -> DataFrame:
     return (
         with_measures(clean)
         .withColumn("discount_rate", F.col("discount_rate").try_cast(RATE))
-        .drop("raw", "defects")
+        .drop("raw", "fired")
     )
 
 
-def rejected(judged: DataFrame) -> DataFrame:
+def _separated(texts: list[Column]) -> Column:
+    """The texts of the rules that fired, in order; the others are null and left out."""
+    shown = [F.when(has_bit(i), text) for i, text in enumerate(texts)]
+    return F.concat_ws(DETAIL_SEPARATOR, *shown)
+
+
+def rejected(
+    judged: DataFrame, today: dt.date, max_quantity: int = DEFAULT_MAX_QUANTITY
+) -> DataFrame:
     """Rows with a defect: the raw fields as JSON, the primary code, and every other one."""
-    codes = F.transform("defects", lambda d: d["code"])
-    return judged.where(F.size("defects") > 0).select(
+    rules = all_rules(today, max_quantity)
+    rows = _with_text(judged.where(f"not ({IS_CLEAN})"))
+    codes = _separated([F.lit(rule.code) for rule in rules])
+    details = _separated([F.concat(F.lit(f"{r.code}: "), r.detail) for r in rules])
+    return rows.select(
         "source_file",
         "row_num",
         F.to_json("raw").alias("raw_payload"),
-        F.element_at(codes, 1).alias("reason_code"),
-        F.array_join(
-            F.transform("defects", lambda d: F.concat(d["code"], F.lit(": "), d["detail"])),
-            DETAIL_SEPARATOR,
-        ).alias("reason_detail"),
-        codes.alias("reason_codes"),
+        primary_code().alias("reason_code"),
+        details.alias("reason_detail"),
+        F.split(codes, r" \| ").alias("reason_codes"),
     )
 
 
+def primary_code() -> Column:
+    """The code of the first rule that fired; null on a clean row."""
+    return F.coalesce(*[F.when(has_bit(i), F.lit(c)) for i, c in enumerate(RULE_CODES)])
+
+
 def repaired_keys(raw: DataFrame) -> DataFrame:
     """Ids that were trimmed or upper-cased: repairs, which do not reject a row."""
     fields = ("customer_id", "product_id")

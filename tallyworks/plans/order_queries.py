@@ -48,12 +48,12 @@ class Load:
 
     @property
     def rejects(self) -> DataFrame:
-        return J.rejected(self.judged).withColumn("run_id", F.col("source_file"))
+        return J.rejected(self.judged, O.TODAY).withColumn("run_id", F.col("source_file"))
 
     @property
     def runs(self) -> DataFrame:
         """One run per file; the file name stands for the run id."""
-        clean = F.size("defects") == 0
+        clean = F.expr(J.IS_CLEAN)
         return self.judged.groupBy("source_file").agg(
             F.count(F.lit(1)).alias("rows_extracted"),
             F.count_if(clean).alias("rows_valid"),
@@ -66,14 +66,19 @@ class Load:
         )
 
 
-def judged_load(spark: SparkSession, sf_dir: str, settle: bool = False) -> Load:
+def judged_load(
+    spark: SparkSession, sf_dir: str, settle: bool = False, keep_feed: bool = False
+) -> Load:
+    """``settle`` where the verdicts, ``keep_feed`` where the raw rows are read more than once:
+    they are then written, and each reader takes only the columns it needs."""
     space = Workspace(spark)
     feed = O.raw_feed(spark, sf_dir, space)
+    if keep_feed:
+        feed = space.settle(feed, "feed")
     judged = J.judge(
         feed, O.customers(spark, sf_dir), O.products(spark, sf_dir), O.TODAY, space
     )
     if settle:
-        # read more than once below: judged once, written, and only the needed columns read back
         judged = space.settle(judged, "judged")
     return Load(space, feed, judged)
 
@@ -181,8 +186,7 @@ def r7_key_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v_judge_primary_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judged_load(spark, sf_dir).judged
-    primary = F.when(F.size("defects") > 0, F.element_at("defects", 1)["code"])
-    return judged.select("source_file", "row_num", primary.alias("reason_code"))
+    return judged.select("source_file", "row_num", J.primary_code().alias("reason_code"))
 
 
 def v_defect_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +197,7 @@ def v_defect_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = F.size("defects") == 0
+    clean = F.expr(J.IS_CLEAN)
     return judged_load(spark, sf_dir).judged.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("rows_extracted"),
         F.count_if(clean).alias("rows_valid"),
@@ -331,8 +335,8 @@ def s_csv_row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s_file_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales files in three shapes: sound, a column short, and one value over on every line."""
     space = Workspace(spark)
-    path = _written_feed(spark, O.raw_feed(spark, sf_dir, space), space)
-    feed = O.raw_feed(spark, sf_dir, space)
+    feed = space.settle(O.raw_feed(spark, sf_dir, space), "feed")
+    path = _written_feed(spark, feed, space)
     short, wide = space.path("short"), space.path("wide")
     feed.select(*SALES_FIELDS[:-1]).write.option("header", True).csv(short)
     line = F.concat(_csv_line([F.col(c) for c in SALES_FIELDS]), F.lit(","))
@@ -472,7 +476,7 @@ def k_reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def k_reload_stale_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file sent again without its returned lines: their facts must go."""
-    load = judged_load(spark, sf_dir, settle=True)
+    load = judged_load(spark, sf_dir, settle=True, keep_feed=True)
     feed = load.feed.where("l_returnflag <> 'R'")
     customers, products = O.customers(spark, sf_dir), O.products(spark, sf_dir)
     second = load.space.settle(
@@ -491,7 +495,7 @@ def k_reload_stale_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k_reload_cross_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned lines sent again under one other file name: it takes their facts over, while the
     staging rows of the first files stay."""
-    load = judged_load(spark, sf_dir, settle=True)
+    load = judged_load(spark, sf_dir, settle=True, keep_feed=True)
     feed = load.feed.where("l_returnflag = 'R'").withColumn("source_file", F.lit("returns.csv"))
     customers, products = O.customers(spark, sf_dir), O.products(spark, sf_dir)
     second = load.space.settle(

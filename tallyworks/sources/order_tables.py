@@ -35,6 +35,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer splits than there are cores, as one small file
+    has. A large table has many splits and is left as it lies."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def coded(prefix: str, key: str) -> Column:
     return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), ID_DIGITS, "0"))
 
@@ -65,6 +72,11 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LINE = (
+    "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag",
+)
+
+
 def numbered_lines(spark: SparkSession, sf_dir: str, space: Workspace) -> DataFrame:
     """Lineitem with ``row_num``, the place of the row in the table, counted from 2.
 
@@ -72,18 +84,17 @@ def numbered_lines(spark: SparkSession, sf_dir: str, space: Workspace) -> DataFr
     order, and no row is shuffled.
     """
     lines = table(spark, sf_dir, "lineitem").select(
-        "*",
+        *_LINE,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_index"),
     )
+    if len(lines.inputFiles()) == 1:
+        return spread(lines).select(*_LINE, (F.col("_index") + 2).alias("row_num"))
     counts = lines.groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
     # written first: one small row per file is then joined by its true size
     files = space.settle(block_offsets(counts, "_file").select("_file", "offset"), "file-offsets")
-    return (
-        lines.join(files, "_file")
-        .withColumn("row_num", F.col("offset") + F.col("_index") + 2)
-        .drop("_file", "_index", "offset")
-    )
+    placed = lines.join(files, "_file")
+    return placed.select(*_LINE, (F.col("offset") + F.col("_index") + 2).alias("row_num"))
 
 
 def _joined(lines: DataFrame, spark: SparkSession, sf_dir: str, orders: bool) -> DataFrame:
@@ -111,7 +122,7 @@ ORDER_ID = "l_orderkey * 10 + l_linenumber"
 def fact_lines(spark: SparkSession, sf_dir: str, orders: bool = True) -> DataFrame:
     """Every line as a measured fact. ``orders=False`` leaves out the order's own columns, and
     with them the join that would bring them."""
-    lines = _joined(table(spark, sf_dir, "lineitem"), spark, sf_dir, orders)
+    lines = _joined(spread(table(spark, sf_dir, "lineitem")), spark, sf_dir, orders)
     head = ["order_date", F.col("o_custkey").alias("customer_key"), "source_file"] if orders else []
     return with_measures(
         lines.select(
@@ -126,7 +137,7 @@ def fact_lines(spark: SparkSession, sf_dir: str, orders: bool = True) -> DataFra
 
 
 def raw_feed(spark: SparkSession, sf_dir: str, space: Workspace) -> DataFrame:
-    """The lines as raw text rows, with faults planted by part key; written once."""
+    """The lines as raw text rows, with faults planted by part key."""
     lines = _joined(numbered_lines(spark, sf_dir, space), spark, sf_dir, orders=True)
     remainder = F.pmod("l_partkey", F.lit(PLANT_CYCLE))
     number = F.expr(ORDER_ID).cast("string")
@@ -152,8 +163,6 @@ def raw_feed(spark: SparkSession, sf_dir: str, space: Workspace) -> DataFrame:
             value = F.when(remainder == k, F.lit(text)).otherwise(value)
         return value.alias(field)
 
-    feed = lines.select(
-        "source_file", "row_num", *[planted(f) for f in SALES_FIELDS],
-        "l_returnflag", "l_shipdate",
+    return lines.select(
+        "source_file", "row_num", *[planted(f) for f in SALES_FIELDS], "l_returnflag"
     )
-    return space.settle(feed, "feed")
