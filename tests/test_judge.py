@@ -1,0 +1,243 @@
+from decimal import Decimal
+
+import pytest
+from conftest import TODAY
+from pyspark.sql import functions as F
+
+from tallyworks.operators import judge as J
+from tallyworks.plans import analytics as A
+from tallyworks.plans import reconcile as R
+from tallyworks.schemas import ROW_CODES, SALES_FIELDS
+from tallyworks.sources.demo_feed import demo_customers, demo_products, demo_rows
+
+# the catalogue of planted rows: every code, the primary one first
+CATALOGUE = {
+    5: ["MISSING_FIELD"],
+    9: ["BAD_INT_ORDER_ID"],
+    14: ["BAD_INT_QUANTITY"],
+    18: ["BAD_DATE_FORMAT"],
+    23: ["BAD_DECIMAL_PRICE"],
+    27: ["BAD_DECIMAL_DISCOUNT"],
+    32: ["QTY_NOT_POSITIVE"],
+    36: ["QTY_NOT_POSITIVE"],
+    41: ["PRICE_NOT_POSITIVE"],
+    45: ["PRICE_NOT_POSITIVE"],
+    50: ["DISCOUNT_OUT_OF_RANGE"],
+    54: ["DISCOUNT_OUT_OF_RANGE"],
+    59: ["DISCOUNT_EQ_ONE"],
+    63: ["UNKNOWN_CUSTOMER"],
+    68: ["UNKNOWN_PRODUCT"],
+    72: ["DATE_IN_FUTURE", "DATE_OUT_OF_PERIOD"],
+    77: ["DATE_OUT_OF_PERIOD"],
+    81: ["QTY_EXCEEDS_THRESHOLD"],
+    86: ["NON_NUMERIC_CURRENCY"],
+    90: ["NON_NUMERIC_CURRENCY"],
+    95: ["PRICE_PRECISION"],
+    99: ["MISSING_FIELD"],
+    104: ["MISSING_FIELD"],
+    108: ["BAD_INT_ORDER_ID", "QTY_NOT_POSITIVE"],
+    113: ["UNKNOWN_CUSTOMER", "UNKNOWN_PRODUCT"],
+    117: ["QTY_NOT_POSITIVE", "PRICE_NOT_POSITIVE", "DISCOUNT_EQ_ONE"],
+    122: ["DUPLICATE_ORDER_ID"],
+    160: ["DUPLICATE_ORDER_ID"],
+}
+
+GOOD = {
+    "order_id": "1000", "order_date": "2026-01-15", "customer_id": "C001", "product_id": "P001",
+    "quantity": "4", "unit_price": "25.00", "discount_rate": "0.10",
+}
+
+
+@pytest.fixture(scope="module")
+def demo(spark, space):
+    judged = J.judge(
+        demo_rows(spark), demo_customers(spark), demo_products(spark), TODAY, space
+    )
+    return space.settle(judged, "demo")
+
+
+def judged_rows(spark, space, overrides, source_file="sales_2026_01.csv", **options):
+    """Codes and detail of rows that differ from a good one by the given fields."""
+    rows = [
+        (source_file, i + 2, *[({"order_id": str(1000 + i)} | o).get(f, GOOD[f])
+                               for f in SALES_FIELDS])
+        for i, o in enumerate(overrides)
+    ]
+    raw = spark.createDataFrame(
+        rows, "source_file string, row_num bigint, " + ", ".join(f"{f} string" for f in SALES_FIELDS)
+    )
+    judged = J.judge(raw, demo_customers(spark), demo_products(spark), TODAY, space, **options)
+    found = {r.row_num: r for r in J.rejected(judged, TODAY, **options).collect()}
+    return [found.get(i + 2) for i in range(len(overrides))]
+
+
+def codes(rows):
+    return [r.reason_codes if r else [] for r in rows]
+
+
+def test_catalogue_of_planted_rows(demo):
+    rejects = J.rejected(demo, TODAY).collect()
+    assert {r.row_num: r.reason_codes for r in rejects} == CATALOGUE
+    assert all(r.reason_code == r.reason_codes[0] for r in rejects)
+    assert J.accepted(demo).count() == 172
+
+
+def test_planted_repairs_stay_valid(spark):
+    repairs = J.repaired_keys(demo_rows(spark)).orderBy("row_num").collect()
+    assert [(r.row_num, r.field, r.before, r.after) for r in repairs] == [
+        (130, "customer_id", " C007 ", "C007"), (141, "product_id", " p012 ", "P012"),
+    ]
+
+
+def test_demo_totals(demo):
+    facts = J.accepted(demo)
+    gap = R.additivity_gap(facts, "-0.03").first()
+    assert (gap.gross, gap.discount, gap.net) == (
+        Decimal("58328.37"), Decimal("7221.33"), Decimal("51107.07")
+    )
+    assert gap.gap_as_expected and gap.half_cent_rows == 3
+    runs = facts.withColumn("run_id", F.lit("r"))
+    check = R.recomputed_measures(runs, runs).first()
+    assert check.mismatched_rows == 0 and check.rows_compared == 172
+    assert check.control_total_matches and check.exact_then_rounded == Decimal("51107.10")
+    assert [r.row_num for r in R.gap_rows(runs, runs).collect()] == [34, 76, 118]
+
+
+def test_demo_reports(spark, demo):
+    facts = J.accepted(demo).withColumns(
+        {"customer_key": F.col("customer_id"), "product_key": F.col("product_id")}
+    )
+    customers = demo_customers(spark).withColumn("customer_key", F.col("customer_id"))
+    products = demo_products(spark).withColumn("product_key", F.col("product_id"))
+    days = A.revenue_per_day(facts).collect()
+    assert len(days) == 31
+    assert (days[0].order_lines, days[0].units, days[0].net_revenue) == (6, 32, Decimal("2086.32"))
+    top = A.product_revenue(facts, products).take(3)
+    assert [(r.product_id, r.units_sold, str(r.net_revenue), str(r.avg_discount_rate)) for r in top] == [
+        ("P012", 78, "5367.58", "0.1714"), ("P010", 62, "4274.06", "0.0818"),
+        ("P003", 70, "3975.69", "0.1750"),
+    ]
+    regions = A.region_revenue(facts, customers).collect()
+    assert [(r.region, r.customers, r.order_lines, str(r.net_revenue), str(r.pct_of_total))
+            for r in regions] == [
+        ("East", 5, 44, "13686.93", "26.78"), ("North", 5, 42, "12826.89", "25.10"),
+        ("West", 5, 42, "12304.50", "24.08"), ("South", 5, 44, "12288.75", "24.05"),
+    ]
+    best = A.customer_value(facts, customers).take(3)
+    assert [(r.customer_id, r.order_lines, str(r.lifetime_value)) for r in best] == [
+        ("C007", 9, "4212.12"), ("C014", 9, "3995.97"), ("C001", 9, "3847.36"),
+    ]
+    reasons = A.rejections_by_reason(J.rejected(demo, TODAY)).collect()
+    assert len(reasons) == 18
+    assert {r.rejections: str(r.pct_of_rejections) for r in reasons} == {
+        3: "10.7", 2: "7.1", 1: "3.6"
+    }
+
+
+@pytest.mark.parametrize(
+    "field,values,want",
+    [
+        ("discount_rate", ["0.00", "0.9999", "1.00", "1", "1.50", "-0.01"],
+         [None, None, "DISCOUNT_EQ_ONE", "DISCOUNT_EQ_ONE", "DISCOUNT_OUT_OF_RANGE",
+          "DISCOUNT_OUT_OF_RANGE"]),
+        ("quantity", ["1", "1000", "1001", "0", "-" + "9" * 30, "9" * 30],
+         [None, None, "QTY_EXCEEDS_THRESHOLD", "QTY_NOT_POSITIVE", "QTY_NOT_POSITIVE",
+          "QTY_EXCEEDS_THRESHOLD"]),
+        ("unit_price", ["25.0", "25", "2.5e1", "19.999", "25.000", "nan", "Infinity", "-Infinity"],
+         [None, None, None, "PRICE_PRECISION", "PRICE_PRECISION", "BAD_DECIMAL_PRICE",
+          "BAD_DECIMAL_PRICE", "BAD_DECIMAL_PRICE"]),
+    ],
+)
+def test_boundaries(spark, space, field, values, want):
+    rows = judged_rows(spark, space, [{field: v} for v in values])
+    assert [r.reason_code if r else None for r in rows] == want
+
+
+def test_both_price_rules_can_fire(spark, space):
+    rows = judged_rows(spark, space, [{"unit_price": "-0.001"}, {"unit_price": "1e-30"}])
+    assert codes(rows) == [["PRICE_NOT_POSITIVE", "PRICE_PRECISION"], ["PRICE_PRECISION"]]
+
+
+def test_only_accepted_rows_reserve_an_order_id(spark, space):
+    same = {"order_id": "1"}
+    rows = judged_rows(
+        spark, space,
+        [same | {"unit_price": "x"}, same, same, same | {"quantity": "0"},
+         {"order_id": ""}, {"order_id": ""}],
+    )
+    assert codes(rows) == [
+        ["BAD_DECIMAL_PRICE"], [], ["DUPLICATE_ORDER_ID"],
+        ["QTY_NOT_POSITIVE", "DUPLICATE_ORDER_ID"], ["MISSING_FIELD"], ["MISSING_FIELD"],
+    ]
+
+
+def test_a_hostile_row_gives_every_parse_code(spark, space):
+    bad = {"order_id": "½", "order_date": "not-a-date", "quantity": "1e5", "unit_price": "£",
+           "discount_rate": "∞"}
+    assert codes(judged_rows(spark, space, [bad])) == [
+        ["BAD_INT_ORDER_ID", "BAD_DATE_FORMAT", "BAD_INT_QUANTITY", "NON_NUMERIC_CURRENCY",
+         "BAD_DECIMAL_DISCOUNT"]
+    ]
+
+
+def test_detail_texts(spark, space):
+    rows = judged_rows(
+        spark, space,
+        [{"order_date": "2199-01-01", "quantity": "-007"}, {"customer_id": " c9 "},
+         {"unit_price": "Inf"}, {"quantity": "1001"}, {}],
+    )
+    assert [r.reason_detail if r else None for r in rows] == [
+        "DATE_IN_FUTURE: order_date 2199-01-01 is after today (2026-08-17) | "
+        "DATE_OUT_OF_PERIOD: order_date 2199-01-01 is outside the file's period 2026-01 | "
+        "QTY_NOT_POSITIVE: quantity -7 must be greater than zero",
+        "UNKNOWN_CUSTOMER: customer_id 'C9' is not in the customer reference set",
+        "BAD_DECIMAL_PRICE: unit_price 'Inf' is not a finite decimal",
+        "QTY_EXCEEDS_THRESHOLD: quantity 1001 exceeds the 1000 outlier threshold",
+        None,
+    ]
+
+
+def test_no_period_no_period_rule(spark, space):
+    rows = judged_rows(spark, space, [{"order_date": "2020-05-05"}], source_file="sales.csv")
+    assert codes(rows) == [[]]
+
+
+def test_max_quantity_is_a_parameter(spark, space):
+    assert codes(judged_rows(spark, space, [{"quantity": "11"}], max_quantity=10)) == [
+        ["QTY_EXCEEDS_THRESHOLD"]
+    ]
+
+
+def test_no_rows(spark, space):
+    assert judged_rows(spark, space, []) == []
+
+
+def test_registry_and_rules_agree():
+    assert set(J.RULE_CODES) == set(ROW_CODES)
+
+
+def test_rules_follow_the_bits(spark):
+    rules = J.all_rules(TODAY, 1000)
+    assert tuple(r.code for r in rules) == J.RULE_CODES
+    place = [(r.tier, SALES_FIELDS.index(r.field)) for r in rules]
+    assert place == sorted(place)
+
+
+def test_secondary_codes(demo):
+    counts = {r.reason_code: (r.fired, r.as_primary)
+              for r in J.code_counts(J.rejected(demo, TODAY)).collect()}
+    assert counts["DATE_OUT_OF_PERIOD"] == (2, 1)
+    assert counts["UNKNOWN_PRODUCT"] == (2, 1)
+    with_code = J.with_code(J.rejected(demo, TODAY), "UNKNOWN_PRODUCT")
+    assert {r.row_num for r in with_code.collect()} == {68, 113}
+
+
+def test_one_order_id_on_most_rows(spark, space):
+    """A hot id: nothing is grouped into one task, and only its first clean row is accepted."""
+    raw = demo_rows(spark, 20_000).where("row_num > 200").withColumn(
+        "order_id", F.when(F.col("row_num") % 3 != 0, F.lit("7")).otherwise(F.col("order_id"))
+    )
+    judged = J.judge(raw, demo_customers(spark), demo_products(spark), TODAY, space)
+    valid = J.accepted(judged)
+    assert valid.where("order_id = 7").count() == 1
+    assert valid.count() == 1 + raw.where("row_num % 3 = 0").count()
