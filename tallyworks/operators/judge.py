@@ -208,8 +208,9 @@ def bits_of(rules: list[Rule], first: int = 0) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
-def has_bit(position: int) -> Column:
-    return F.col("fired").bitwiseAND(F.lit(1 << position).cast("bigint")) != 0
+def bit(position: int) -> str:
+    """SQL for a verdict with this bit."""
+    return f"fired & {1 << position} <> 0"
 
 
 def unknown_keys(rows: DataFrame, dim: DataFrame, key: str, flag: str) -> DataFrame:
@@ -297,33 +298,32 @@ def accepted(judged: DataFrame) -> DataFrame:
     )
 
 
-def _separated(texts: list[Column]) -> Column:
-    """The texts of the rules that fired, in order; the others are null and left out."""
-    shown = [F.when(has_bit(i), text) for i, text in enumerate(texts)]
-    return F.concat_ws(DETAIL_SEPARATOR, *shown)
-
-
 def rejected(
     judged: DataFrame, today: dt.date, max_quantity: int = DEFAULT_MAX_QUANTITY
 ) -> DataFrame:
     """Rows with a defect: the raw fields as JSON, the primary code, and every other one."""
     rules = all_rules(today, max_quantity)
     rows = _with_text(judged.where(f"not ({IS_CLEAN})"))
-    codes = _separated([F.lit(rule.code) for rule in rules])
-    details = _separated([F.concat(F.lit(f"{r.code}: "), r.detail) for r in rules])
+    # the texts of rules that did not fire are null, and left out
+    details = [
+        F.when(F.expr(bit(i)), F.concat(F.lit(f"{rule.code}: "), rule.detail))
+        for i, rule in enumerate(rules)
+    ]
+    codes = ", ".join(f"if({bit(i)}, '{rule.code}', null)" for i, rule in enumerate(rules))
     return rows.select(
         "source_file",
         "row_num",
         F.to_json("raw").alias("raw_payload"),
         primary_code().alias("reason_code"),
-        details.alias("reason_detail"),
-        F.split(codes, r" \| ").alias("reason_codes"),
+        F.concat_ws(DETAIL_SEPARATOR, *details).alias("reason_detail"),
+        F.expr(f"split(concat_ws(' ', {codes}), ' ')").alias("reason_codes"),
     )
 
 
 def primary_code() -> Column:
     """The code of the first rule that fired; null on a clean row."""
-    return F.coalesce(*[F.when(has_bit(i), F.lit(c)) for i, c in enumerate(RULE_CODES)])
+    cases = " ".join(f"when {bit(i)} then '{code}'" for i, code in enumerate(RULE_CODES))
+    return F.expr(f"case {cases} end")
 
 
 def repaired_keys(raw: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.operators import merge as M
 from tallyworks.operators.audit import constraint_audit
-from tallyworks.operators.judge import DEFAULT_MAX_QUANTITY, accepted, rejected
+from tallyworks.operators.judge import accepted
 from tallyworks.schemas import TABLES, ddl
 from tallyworks.workspace import Workspace
 
@@ -109,16 +109,15 @@ class Warehouse:
     def load(
         self,
         judged: DataFrame,
+        rejects: DataFrame,
         files: DataFrame,
         customers: DataFrame,
         products: DataFrame,
-        today: dt.date,
         space: Workspace,
-        max_quantity: int = DEFAULT_MAX_QUANTITY,
         load_id: str | None = None,
         started_at: dt.datetime | None = None,
     ) -> DataFrame:
-        """Load judged rows (written, as they are read several times) and publish them.
+        """Load judged rows and their rejects, both written tables, and publish them.
 
         ``files`` has one row per file of the load: ``source_file`` and ``last_row``, its last
         line number. Returns the run log rows of the load.
@@ -147,9 +146,8 @@ class Warehouse:
         facts, sales_end = self._keyed(facts, "fact_sales", "sales_key", files, space)
         self._write(facts.withColumn("loaded_at", stamp), "fact_sales", load_id)
 
-        rejects = rejected(judged, today, max_quantity).withColumn("run_id", run_id)
         rejects, reject_end = self._keyed(
-            rejects, "etl_rejected_sales", "rejected_id", files, space
+            rejects.withColumn("run_id", run_id), "etl_rejected_sales", "rejected_id", files, space
         )
         self._write(rejects.withColumn("rejected_at", stamp), "etl_rejected_sales", load_id)
 
