@@ -18,8 +18,9 @@ WHITESPACE = (
 # Marks of a price written for people.
 CURRENCY_MARKS = "[$€£¥,]"
 
-INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
-DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+INTEGER = r"^[+-]?[0-9]++$"
+GROUPED_INTEGER = r"^[+-]?[0-9]++(?:_[0-9]++)*+$"
+DECIMAL = r"^[+-]?(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?$"
 NON_FINITE = r"(?i)^[+-]?(inf|infinity|s?nan[0-9]*)$"
 ISO_DATE = r"^[0-9]{4}-[0-9]{1,2}-( [1-9]|[0-9]{1,2})$"
 
@@ -39,53 +40,74 @@ def is_blank(text: Column) -> Column:
     return trimmed(text) == ""
 
 
+def _ungrouped(text: Column) -> Column:
+    """Text without the underscores that may group digits; hardly any value has one."""
+    return F.when(F.contains(text, F.lit("_")), F.translate(text, "_", "")).otherwise(text)
+
+
+def _integer_digits(text: Column) -> Column:
+    """The integer's own text, or null."""
+    grouped = F.when(text.rlike(GROUPED_INTEGER), F.translate(text, "_", ""))
+    plain = F.when(text.rlike(INTEGER), text)
+    return F.when(F.contains(text, F.lit("_")), grouped).otherwise(plain)
+
+
 def is_integer(text: Column) -> Column:
     """Over trimmed text."""
-    return text.rlike(INTEGER)
+    return _integer_digits(text).isNotNull()
 
 
 def to_integer(text: Column) -> Column:
     """Trimmed text to bigint; null where it is no integer or does not fit."""
-    return F.when(is_integer(text), F.translate(text, "_", "").try_cast("bigint"))
+    return _integer_digits(text).try_cast("bigint")
 
 
 def is_decimal(text: Column) -> Column:
     """Over trimmed text: a finite decimal, in plain or exponent form."""
-    return F.translate(text, "_", "").rlike(DECIMAL)
+    return _ungrouped(text).rlike(DECIMAL)
 
 
 def to_decimal(text: Column) -> Column:
     """Trimmed text to decimal(38,12); null where it is not finite or does not fit."""
-    plain = F.translate(text, "_", "")
+    plain = _ungrouped(text)
     return F.when(plain.rlike(DECIMAL), plain.try_cast(WIDE_DECIMAL))
 
 
 def to_iso_date(text: Column) -> Column:
     """Trimmed text to date; one-digit months and days are read, impossible days are null."""
     readable = text.rlike(ISO_DATE) & ~text.startswith("0000")
-    return F.when(readable, F.translate(text, " ", "").try_cast("date"))
+    spaced = F.contains(text, F.lit(" "))
+    plain = F.when(spaced, F.translate(text, " ", "")).otherwise(text)
+    return F.when(readable, plain.try_cast("date"))
 
 
 def decimal_places(text: Column) -> Column:
     """Digits after the point less the exponent, as written: 25.000 has three."""
-    plain = F.translate(text, "_", "")
-    fraction = F.length(F.regexp_extract(plain, r"\.([0-9]*)", 1))
-    written = F.regexp_extract(plain, r"[eE]([+-]?[0-9]+)$", 1)
-    # a failing cast is far dearer than the test that avoids it
-    exponent = F.when(written != "", written.try_cast("int")).otherwise(F.lit(0))
-    return fraction - exponent
-
-
-def is_negative(text: Column) -> Column:
-    """A decimal below zero, judged on its digits so that no cast can round it to zero."""
-    return text.startswith("-") & has_digit(text)
+    plain = _ungrouped(text)
+    point = F.instr(plain, ".")
+    digits = F.when(point > 0, F.length(plain) - point).otherwise(F.lit(0))
+    with_exponent = (
+        F.length(F.regexp_extract(plain, r"\.([0-9]*)", 1))
+        - F.regexp_extract(plain, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int")
+    )
+    return F.when(plain.rlike("[eE]"), with_exponent).otherwise(digits)
 
 
-def has_digit(text: Column) -> Column:
+def _has_digit(text: Column) -> Column:
     """A decimal with a digit other than zero before any exponent."""
     return text.rlike(r"^[+-]?[0-9._]*[1-9]")
 
 
+def is_zero(value: Column, text: Column) -> Column:
+    """A decimal that is zero as written, not only after its cast."""
+    return (value == 0) & ~_has_digit(text)
+
+
+def is_negative(value: Column, text: Column) -> Column:
+    """A decimal below zero, even one so close to it that its cast is zero."""
+    return (value < 0) | ((value == 0) & text.startswith("-") & _has_digit(text))
+
+
 def integer_text(text: Column) -> Column:
     """The integer as it prints: no plus sign, no leading zeros."""
     digits = F.translate(text, "_+", "")
@@ -116,9 +138,8 @@ def quoted(text: Column) -> Column:
 
 def file_period(source_file: Column) -> Column:
     """``yyyy-MM`` named by a file, or null: the first year-month pair decides."""
-    pattern = r"([0-9]{4})[_-]([0-9]{2})"
-    month = F.regexp_extract(source_file, pattern, 2)
+    pair = F.regexp_extract(source_file, r"[0-9]{4}[_-][0-9]{2}", 0)
+    month = F.substring(pair, 6, 2)
     return F.when(
-        month.between("01", "12"),
-        F.concat_ws("-", F.regexp_extract(source_file, pattern, 1), month),
+        month.between("01", "12"), F.concat_ws("-", F.substring(pair, 1, 4), month)
     )

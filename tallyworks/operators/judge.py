@@ -30,6 +30,9 @@ IS_CLEAN = "fired = 0"
 MISSING, PARSE, RANGE, FOREIGN_KEY, FILE_SCOPE = 1, 2, 3, 4, 5
 DETAIL_SEPARATOR = " | "
 
+# A judged row keeps these; a value that does not fit is null, which the table audit refuses.
+STORED = {"quantity": "int", "unit_price": PRICE, "discount_rate": "decimal(13,12)"}
+
 # The code of each bit of a verdict: seven missing fields, then the other codes in their order.
 RULE_CODES = (*["MISSING_FIELD"] * len(SALES_FIELDS), *ROW_CODES[1:])
 
@@ -108,9 +111,8 @@ def row_rules(today: dt.date, max_quantity: int) -> list[Rule]:
     rate_text = F.col("text.discount_rate")
     marked = price_text.rlike(P.CURRENCY_MARKS)
     period = P.file_period(F.col("source_file"))
-    iso = F.date_format(date, "yyyy-MM-dd")
+    iso = date.cast("string")
     shown_quantity = P.integer_text(F.col("text.quantity"))
-    priced, rated = price.isNotNull(), rate.isNotNull()
     return [
         *[_missing(field) for field in SALES_FIELDS],
         _unreadable("BAD_INT_ORDER_ID", "order_id", "is not an integer"),
@@ -127,7 +129,7 @@ def row_rules(today: dt.date, max_quantity: int) -> list[Rule]:
             F.concat(F.lit("order_date "), iso, F.lit(f" is after today ({today.isoformat()})")),
         ),
         Rule(
-            "DATE_OUT_OF_PERIOD", RANGE, "order_date", F.date_format(date, "yyyy-MM") != period,
+            "DATE_OUT_OF_PERIOD", RANGE, "order_date", F.substring(iso, 1, 7) != period,
             F.concat(F.lit("order_date "), iso, F.lit(" is outside the file's period "), period),
         ),
         Rule(
@@ -143,14 +145,15 @@ def row_rules(today: dt.date, max_quantity: int) -> list[Rule]:
         ),
         Rule(
             "PRICE_NOT_POSITIVE", RANGE, "unit_price",
-            priced & (P.is_negative(price_text) | ~P.has_digit(price_text)),
+            P.is_negative(price, price_text) | P.is_zero(price, price_text),
             F.concat(
                 F.lit("unit_price "), P.decimal_text(price_text),
                 F.lit(" must be greater than zero"),
             ),
         ),
         Rule(
-            "PRICE_PRECISION", RANGE, "unit_price", priced & (P.decimal_places(price_text) > 2),
+            "PRICE_PRECISION", RANGE, "unit_price",
+            price.isNotNull() & (P.decimal_places(price_text) > 2),
             F.concat(
                 F.lit("unit_price "), price_text, F.lit(" has more than two decimal places")
             ),
@@ -161,7 +164,7 @@ def row_rules(today: dt.date, max_quantity: int) -> list[Rule]:
         ),
         Rule(
             "DISCOUNT_OUT_OF_RANGE", RANGE, "discount_rate",
-            rated & (P.is_negative(rate_text) | (rate > 1)),
+            P.is_negative(rate, rate_text) | (rate > 1),
             F.concat(
                 F.lit("discount_rate "), P.decimal_text(rate_text), F.lit(" is outside [0, 1)")
             ),
@@ -257,7 +260,8 @@ def judge(
     """
     early = row_rules(today, max_quantity)
     rows = parsed(raw).withColumn("fired", bits_of(early)).drop("text")
-    rows = space.settle(rows, "rows")
+    # the verdict is in, so the values take the sizes a clean row needs
+    rows = space.settle(rows.withColumns({c: F.col(c).try_cast(t) for c, t in STORED.items()}), "rows")
     bad_customers = space.settle(
         unknown_keys(rows, customers, "customer_id", "unknown_customer"), "unknown-customers"
     )
@@ -285,14 +289,8 @@ def accepted(judged: DataFrame) -> DataFrame:
 
     The measures use the discount rate as it was read; the stored rate has four decimals.
     """
-    clean = judged.where(IS_CLEAN).withColumns(
-        {
-            "quantity": F.col("quantity").try_cast("int"),
-            "unit_price": F.col("unit_price").try_cast(PRICE),
-        }
-    )
     return (
-        with_measures(clean)
+        with_measures(judged.where(IS_CLEAN))
         .withColumn("discount_rate", F.col("discount_rate").try_cast(RATE))
         .drop("raw", "fired")
     )
