@@ -54,6 +54,10 @@ def _cycle(values: tuple, k: Column) -> Column:
     return F.get(texts, F.pmod(k, F.lit(len(values))).cast("int"))
 
 
+def _padded(prefix: str, number: Column, digits: int) -> Column:
+    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), digits, "0"))
+
+
 def demo_rows(
     spark: SparkSession, lines: int = 200, source_file: str = "sales_2026_01.csv"
 ) -> DataFrame:
@@ -61,9 +65,9 @@ def demo_rows(
     k = F.col("row_num") - 2
     place = {
         "order_id": (k + 1000).cast("string"),
-        "order_date": F.format_string("2026-01-%02d", F.pmod(k, F.lit(DAYS)) + 1),
-        "customer_id": F.format_string("C%03d", F.pmod(k, F.lit(CUSTOMERS)) + 1),
-        "product_id": F.format_string("P%03d", F.pmod(k, F.lit(PRODUCTS)) + 1),
+        "order_date": _padded("2026-01-", F.pmod(k, F.lit(DAYS)) + 1, 2),
+        "customer_id": _padded("C", F.pmod(k, F.lit(CUSTOMERS)) + 1, 3),
+        "product_id": _padded("P", F.pmod(k, F.lit(PRODUCTS)) + 1, 3),
         "quantity": _cycle(QUANTITIES, k),
         "unit_price": _cycle(UNIT_PRICES, k),
         "discount_rate": _cycle(DISCOUNT_RATES, k),
@@ -85,8 +89,8 @@ def demo_rows(
 def demo_customers(spark: SparkSession) -> DataFrame:
     k = F.col("id")
     return spark.range(CUSTOMERS).select(
-        F.format_string("C%03d", k + 1).alias("customer_id"),
-        F.format_string("Customer %d", k + 1).alias("customer_name"),
+        _padded("C", k + 1, 3).alias("customer_id"),
+        F.concat(F.lit("Customer "), (k + 1).cast("string")).alias("customer_name"),
         _cycle(REGIONS, k).alias("region"),
         _cycle(SEGMENTS, k).alias("segment"),
         F.lit(None).cast("date").alias("signup_date"),
@@ -96,8 +100,8 @@ def demo_customers(spark: SparkSession) -> DataFrame:
 def demo_products(spark: SparkSession) -> DataFrame:
     k = F.col("id")
     return spark.range(PRODUCTS).select(
-        F.format_string("P%03d", k + 1).alias("product_id"),
-        F.format_string("Product %d", k + 1).alias("product_name"),
+        _padded("P", k + 1, 3).alias("product_id"),
+        F.concat(F.lit("Product "), (k + 1).cast("string")).alias("product_name"),
         _cycle(CATEGORIES, k).alias("category"),
         F.lit("25.00").cast("decimal(12,2)").alias("list_price"),
     )
