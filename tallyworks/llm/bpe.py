@@ -83,7 +83,7 @@ class Coder:
 
     def extend(self, data: bytes, last: list[int], upto: int | None = None) -> None:
         """Add the last tokens of further prefixes to ``last``."""
-        endings, beside = self.endings, self.merges.beside
+        endings, beside, judged = self.endings, self.merges.beside, self.merges.judged
         for at in range(len(last), (len(data) if upto is None else upto) + 1):
             found = []
             start = at - 1
@@ -95,9 +95,12 @@ class Coder:
                     found.append((start, token))
                 start -= 1
             for start, token in reversed(found):
-                if start == 0 or beside(last[start], token):
-                    last.append(token)
-                    break
+                if start:
+                    pair = last[start], token
+                    if not (judged[pair] if pair in judged else beside(*pair)):
+                        continue
+                last.append(token)
+                break
             else:
                 raise ValueError(f"byte {data[at - 1]} has no token")
 

@@ -14,8 +14,8 @@ from functools import lru_cache
 
 #: A token with no part to undo, and the rank after all others.
 NONE, NEVER = -1, 1 << 60
-#: Judged pairs and encoded pieces that a worker remembers before it starts afresh.
-REMEMBERED = 1 << 19
+#: Judged pairs, or pieces, that a worker remembers before it starts afresh.
+REMEMBERED = 1 << 20
 
 
 class Merges:
@@ -23,7 +23,7 @@ class Merges:
 
     def __init__(self, parts: dict[int, tuple[int, int]], ranks: dict[tuple[int, int], int], own: dict[int, int]):
         self.parts, self.ranks, self.own = parts, ranks, own
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self.judged: dict[tuple[int, int], bool] = {}
         self._spines: dict[int, tuple[list[tuple[int, int]], list[tuple[int, int]]]] = {}
 
     def _spine(self, token: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
@@ -49,7 +49,7 @@ class Merges:
         comes first, so a merge across the border beats one of its rank on its right.
         """
         key = (left, right)
-        known = self._pairs.get(key)
+        known = self.judged.get(key)
         if known is None:
             known, ranks = True, self.ranks
             for a, gone_a in self._spine(left)[0]:
@@ -60,9 +60,9 @@ class Merges:
                         break
                 if not known:
                     break
-            if len(self._pairs) >= REMEMBERED:
-                self._pairs.clear()
-            self._pairs[key] = known
+            if len(self.judged) >= REMEMBERED:
+                self.judged.clear()
+            self.judged[key] = known
         return known
 
 
@@ -72,21 +72,16 @@ def byte_ranks(path: str) -> tuple[dict[bytes, int], Merges]:
     with open(path, "rb") as lines:
         ids = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     parts, ranks = {}, {}
-    for token, rank in ids.items():
-        for cut in range(1, len(token)):
-            a, b = ids.get(token[:cut]), ids.get(token[cut:])
-            if a is not None and b is not None:
-                ranks[a, b] = rank
     merges = Merges(parts, ranks, {rank: rank for rank in ids.values()})
     for token, rank in sorted(ids.items(), key=lambda x: x[1]):
+        cuts = [(ids.get(token[:k], NEVER), ids.get(token[k:], NEVER)) for k in range(1, len(token))]
+        cuts = [(a, b) for a, b in cuts if a < rank and b < rank]
+        ranks |= dict.fromkeys(cuts, rank)
         if len(token) > 1:
-            for cut in range(1, len(token)):
-                a, b = ids.get(token[:cut]), ids.get(token[cut:])
-                if a is not None and b is not None and _made_first(merges, a, b, rank):
-                    parts[rank] = (a, b)
-                    break
-            else:
+            made = next((cut for cut in cuts if _made_first(merges, *cut, rank)), None)
+            if made is None:
                 raise ValueError(f"token {rank} can't be reached by merges")
+            parts[rank] = made
     return ids, merges
 
 

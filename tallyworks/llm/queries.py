@@ -4,17 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import licenses, line_dedup, mixing, sharding
+from tallyworks.llm import (
+    bpe,
+    fingerprints,
+    licenses,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality,
+    sharding,
+    token_counts,
+    topk_search,
+)
 from tallyworks.llm.common import small_batches, table
 from tallyworks.workspace import Workspace
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return ngram_join.join(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, table(spark, sf_dir, "labels"), Workspace(spark)).drop("text")
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return fingerprints.follow(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.assign(docs, Workspace(spark)).drop("text")
@@ -26,6 +60,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(docs)
 
 
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     planned = mixing.plan(docs, Workspace(spark))
@@ -34,6 +72,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "round(array_min(places.time), 9) AS first_time")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_license_scan, op6_sharding, op7_line_dedup, op9_mixing)
+    f.__name__: f
+    for f in (op1_ngram_join, op2_bpe, op3_license_scan, op4_quality, op5_fingerprints, op6_sharding,
+              op7_line_dedup, op8_topk_search, op9_mixing, op10_token_counts)
 }

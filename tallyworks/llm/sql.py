@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallyworks.llm.licenses import TEMPLATES, Template
 from tallyworks.llm.mixing import SLOPES, WEIGHTS
 from tallyworks.llm.sharding import BITS, LIMIT
+from tallyworks.llm.topk_search import EVERY, SCALE, K
 
 KEY = "substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 16)"
 
@@ -95,5 +96,16 @@ SELECT doc_id, size, source_size, target, list_sum(list_transform(range(3), lamb
 FROM q"""
 
 
+def op8() -> str:
+    return f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS x FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM v AS q JOIN v AS c ON q.vec_id % {EVERY} = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= {K}"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op3_license_scan": op3(), "op6_sharding": op6(), "op7_line_dedup": OP7, "op9_mixing": op9()}
+    return {"op3_license_scan": op3(), "op6_sharding": op6(), "op7_line_dedup": OP7, "op8_topk_search": op8(),
+            "op9_mixing": op9()}
