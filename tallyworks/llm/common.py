@@ -21,6 +21,16 @@ def small_batches(spark: SparkSession) -> None:
 
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns as one, so that none can clash with an operator's own."""
+    return F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+
+
+def unpacked(docs: DataFrame, *made: str) -> list[Column]:
+    """The columns of ``docs`` out of ``_row``, without those that the operator makes."""
+    return [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in made]
+
+
 def whole_text(docs: DataFrame) -> Column:
     return F.coalesce(docs["text"], F.lit(""))
 

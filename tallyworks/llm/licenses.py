@@ -22,8 +22,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import whole_text
+from tallyworks.llm.common import packed, unpacked, whole_text
 
+MADE = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -80,7 +81,7 @@ def words_of(text: Column) -> Column:
 def document_counts(words: DataFrame, templates: Sequence[Template]) -> dict[str, int]:
     """In how many documents each key-phrase word stands: one number for each word of the templates."""
     known = sorted({w for t in templates for w in t.key_words})
-    held = words.select(F.explode(F.array_intersect(F.array(*map(F.lit, known)), "words")).alias("word"))
+    held = words.select(F.explode(F.array_intersect(F.array(*map(F.lit, known)), "_words")).alias("word"))
     counts = {r["word"]: r["n"] for r in held.groupBy("word").agg(F.count("*").alias("n")).collect()}
     return {w: counts.get(w, 0) for w in known}
 
@@ -96,53 +97,52 @@ def postings(templates: Sequence[Template], counts: dict[str, int]) -> list[tupl
 
 def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
     """The frame's columns and n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    columns = docs.columns
-    rows = docs.withColumn("words", words_of(whole_text(docs)))
-    index = postings(templates, document_counts(rows.select("words"), templates))
+    rows = docs.select(packed(docs), words_of(whole_text(docs)).alias("_words"))
+    index = postings(templates, document_counts(rows.select("_words"), templates))
     anchors = sorted({a for _, a, _ in index})
-    every = F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1)).otherwise(
+    every = F.when(F.size("_words") > 0, F.sequence(F.lit(0), F.size("_words") - 1)).otherwise(
         F.array().cast("array<int>"))
-    any_anchor = F.arrays_overlap("words", F.array(*map(F.lit, anchors)))
-    hits = F.when(any_anchor, F.filter(every, lambda i: F.get("words", i).isin(anchors))).otherwise(
+    any_anchor = F.arrays_overlap("_words", F.array(*map(F.lit, anchors)))
+    hits = F.when(any_anchor, F.filter(every, lambda i: F.get("_words", i).isin(anchors))).otherwise(
         F.array().cast("array<int>"))
-    rows = rows.withColumn("hits", hits)
+    rows = rows.withColumn("_hits", hits)
 
     def starts(t: Template, anchor: str, offset: int) -> Column:
         """Places where the key phrase stands, as starts of the template."""
         def key_stands(start: Column) -> Column:
-            checks = [F.get("words", start + t.key_at + k).eqNullSafe(F.lit(w)) for k, w in enumerate(t.key_words)]
+            checks = [F.get("_words", start + t.key_at + k).eqNullSafe(F.lit(w)) for k, w in enumerate(t.key_words)]
             out = (start + t.key_at) >= 0
             for check in checks:
                 out = out & check
             return out
 
-        at = F.transform(F.filter("hits", lambda i: F.get("words", i) == anchor), lambda i: i - offset)
+        at = F.transform(F.filter("_hits", lambda i: F.get("_words", i) == anchor), lambda i: i - offset)
         return F.filter(at, key_stands)
 
-    rows = rows.withColumns({f"at_{n}": starts(*x) for n, x in enumerate(index)})
+    rows = rows.withColumns({f"_at_{n}": starts(*x) for n, x in enumerate(index)})
 
     def share(n: int, t: Template) -> Column:
         """The best share of the template's words that stand at their places."""
         def agree(start: Column) -> Column:
             total = F.lit(0)
             for k, w in enumerate(t.all_words):
-                stands = ((start + k) >= 0) & F.get("words", F.greatest(start + k, F.lit(0))).eqNullSafe(F.lit(w))
+                stands = ((start + k) >= 0) & F.get("_words", F.greatest(start + k, F.lit(0))).eqNullSafe(F.lit(w))
                 total = total + stands.cast("int")
             return total / F.lit(len(t.all_words))
 
         if t.base:
-            return F.when(F.size(f"at_{n}") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-        return F.coalesce(F.array_max(F.transform(f"at_{n}", agree)), F.lit(0.0))
+            return F.when(F.size(f"_at_{n}") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
+        return F.coalesce(F.array_max(F.transform(f"_at_{n}", agree)), F.lit(0.0))
 
     def names(picked: Sequence[tuple[int, Template]]) -> Column:
-        held = [F.when(F.size(f"at_{n}") > 0, F.lit(t.label)) for n, t in picked]
+        held = [F.when(F.size(f"_at_{n}") > 0, F.lit(t.label)) for n, t in picked]
         return F.concat_ws(",", F.array_sort(F.array_distinct(F.array_compact(F.array(*held)))))
 
     numbered = [(n, t) for n, (t, _, _) in enumerate(index)]
     firm = [(n, t) for n, t in numbered if t.base]
-    places = F.concat(*[F.col(f"at_{n}") for n, _ in firm])
+    places = F.concat(*[F.col(f"_at_{n}") for n, _ in firm])
     return rows.select(
-        *columns, F.size("words").cast("long").alias("n_words"), F.size(places).cast("long").alias("n_base"),
+        *unpacked(docs, *MADE), F.size("_words").cast("long").alias("n_words"), F.size(places).cast("long").alias("n_base"),
         F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
         names(firm).alias("base_labels"), names(numbered).alias("labels"),
         F.greatest(*[share(n, t) for n, t in numbered]).alias("score"))

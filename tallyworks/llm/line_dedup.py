@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyworks.llm.common import unpacked
+
 WINDOW = 3
 
 
@@ -76,6 +78,6 @@ def dedup(docs: DataFrame) -> DataFrame:
     held = docs.alias("d").join(
         starts.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.id"))
         & (F.xxhash64("d.text") == F.col("s.text_hash")), "left")
-    cleaned = held.select(*[F.col(f"d.{c}").alias(c) for c in docs.columns],
+    cleaned = held.select(F.struct(*[F.col(f"d.{c}") for c in docs.columns]).alias("_row"),
                           _without(F.col("d.text"), F.col("s.starts")).alias("made"))
-    return cleaned.withColumn("text", F.col("made.text")).select(*docs.columns, "made.n_lines", "made.n_removed")
+    return cleaned.select(*unpacked(docs, "text", "n_lines", "n_removed"), "made.text", "made.n_lines", "made.n_removed")

@@ -10,7 +10,7 @@ Result: one row per document with class_id (the least doc_id of the documents th
 copy_id (the least doc_id with an equal shingle set) and n_links (other documents with similarity
 THRESHOLD or more, copies included). Defined cases: a document without words, or with a null text, links to nothing;
 null ids are left out of the least ids, and a class of null ids only has a null class_id; rows that repeat each other
-are copies; extra columns are dropped, or kept by ``groups``.
+are copies; extra columns are dropped, or kept by ``groups`` unless named like a result.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.llm import links
-from tallyworks.llm.common import whole_text
+from tallyworks.llm.common import packed, unpacked, whole_text
 from tallyworks.llm.shingles import Permutations, blocks, mixed
 from tallyworks.workspace import Workspace
 
@@ -81,9 +81,9 @@ def forest_keys(shingles: np.ndarray, number: np.ndarray, sizes: np.ndarray, thr
 
 
 def signed(docs: DataFrame, threshold: float = THRESHOLD, keys_of: KeysOf = forest_keys) -> DataFrame:
-    """The frame with ``_node``, ``_size`` and ``_keys``, without its text; no node without words."""
-    others = [c for c in docs.columns if c != "text"]
-    sent = docs.select(*[docs[c] for c in others], whole_text(docs).alias("_whole"))
+    """doc_id, all columns but the text as ``_row``, ``_node``, ``_size`` and ``_keys``; no node without words."""
+    others = ["doc_id", "_row"]
+    sent = docs.select("doc_id", packed(docs.drop("text")), whole_text(docs).alias("_whole"))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +140,7 @@ def candidates(rows: DataFrame, space: Workspace) -> DataFrame:
 
 def groups(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD, keys_of: KeysOf = forest_keys) -> DataFrame:
     """The frame without text, with _node, class_id, copy_id, n_links and _group (the class's key)."""
-    others = [c for c in docs.columns if c != "text"]
+    others = unpacked(docs.drop("text"), "_node", "class_id", "copy_id", "n_links", "_group")
     rows = space.settle(signed(docs, threshold, keys_of), "signed")
     found = candidates(rows, space)
     plan = links.block_plan(found.select("node", "size", "grp"), threshold, space)

@@ -7,7 +7,8 @@ only buckets of the histogram that are still too large look at their documents a
 
 Defined cases: a null text has no bytes; null ids count as an empty text in the hash. Rows that
 repeat doc_id and text share all bits: where they exceed the limit together they are dealt by
-rank into parts that fit. A single document over the limit has a part of its own.
+rank into parts that fit. A single document over the limit has a part of its own. Columns named
+like a result are replaced, all others pass.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import content_key, whole_text
+from tallyworks.llm.common import content_key, packed, unpacked, whole_text
 from tallyworks.workspace import Workspace
 
 BITS = 60
@@ -28,9 +29,9 @@ FINER, DEEPER = 6, 12
 
 
 def hashed(docs: DataFrame) -> DataFrame:
-    """The frame with ``shard_hash`` and ``shard_size``."""
+    """The rows with ``shard_hash`` and ``shard_size``."""
     hash60 = F.conv(F.substring(content_key(docs), 1, BITS // 4), 16, 10).cast("long")
-    return docs.withColumns({"shard_hash": hash60, "shard_size": F.octet_length(whole_text(docs)).cast("long")})
+    return docs.select(packed(docs), hash60.alias("shard_hash"), F.octet_length(whole_text(docs)).cast("long").alias("shard_size"))
 
 
 def prefix(column: str, bits: Column | int, depth: Column | int) -> Column:
@@ -76,7 +77,7 @@ def directory(rows: DataFrame, space: Workspace, limit: int = LIMIT) -> tuple[li
 
 def assign(docs: DataFrame, space: Workspace, limit: int = LIMIT) -> DataFrame:
     """The frame with n_bytes, shard (depth-prefix-part), depth and shard_bytes; one row per document."""
-    columns, rows = docs.columns, hashed(docs)
+    rows, columns = hashed(docs), unpacked(docs, "n_bytes", "shard", "depth", "shard_bytes")
     tables, full = directory(rows, space, limit)
 
     def named(found: DataFrame, part: Column) -> DataFrame:
