@@ -34,7 +34,7 @@ lines AS (
          CAST(l_quantity AS INTEGER) AS quantity,
          CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price,
          CAST(l_discount AS DECIMAL(5,4)) AS discount_rate
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
 ),
 facts AS (
   SELECT *, {measures("quantity", "unit_price", "discount_rate")} FROM lines
@@ -46,23 +46,25 @@ lined AS (
   SELECT *, l_orderkey * 10 + l_linenumber AS oid, l_partkey % 97 AS k,
          CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
          lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS cust
-  FROM placed JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+  FROM placed LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
 ),
 feed AS (
-  SELECT row_num, l_returnflag, 'sales_' || strftime(o_orderdate, '%Y_%m') || '.csv' AS source_file,
+  SELECT row_num, l_returnflag,
+    'sales_' || coalesce(strftime(o_orderdate, '%Y_%m'), 'unknown') || '.csv' AS source_file,
     CASE k WHEN 1 THEN 'ORD-' || oid WHEN 2 THEN '' ELSE CAST(oid AS VARCHAR) END AS order_id,
     CASE k WHEN 3 THEN '15/01/2026' WHEN 4 THEN '2199-01-01' WHEN 5 THEN '1990-02-03'
-           WHEN 24 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
+           WHEN 24 THEN '' ELSE coalesce(strftime(o_orderdate, '%Y-%m-%d'), '') END AS order_date,
     CASE k WHEN 6 THEN '' WHEN 7 THEN 'C999999999' WHEN 8 THEN ' c' || cust || ' '
-           ELSE 'C' || cust END AS customer_id,
+           ELSE coalesce('C' || cust, '') END AS customer_id,
     CASE k WHEN 9 THEN 'P999999999'
            ELSE 'P' || lpad(CAST(l_partkey AS VARCHAR), 12, '0') END AS product_id,
     CASE k WHEN 1 THEN '-2' WHEN 10 THEN 'three' WHEN 11 THEN '0' WHEN 12 THEN '5000'
            WHEN 13 THEN '-2' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
     CASE k WHEN 14 THEN 'abc' WHEN 15 THEN '$' || price WHEN 16 THEN '1,299.00'
-           WHEN 17 THEN '19.999' WHEN 18 THEN '0.00' WHEN 19 THEN 'NaN' ELSE price END
+           WHEN 17 THEN '19.999' WHEN 18 THEN '0.00' WHEN 19 THEN 'NaN' ELSE coalesce(price, '') END
       AS unit_price,
     CASE k WHEN 20 THEN 'ten percent' WHEN 21 THEN '1.00' WHEN 22 THEN '1.50' WHEN 23 THEN '-0.10'
+           WHEN 25 THEN '1.0000000000001'
            ELSE CAST(CAST(l_discount AS DECIMAL(4,2)) AS VARCHAR) END AS discount_rate
   FROM lined
 )"""
@@ -146,7 +148,7 @@ typed{tag} AS (
     CASE WHEN regexp_full_match(trim(unit_price), '{NUMBER}')
          THEN TRY_CAST(trim(unit_price) AS DECIMAL(38,12)) END AS n_price,
     CASE WHEN regexp_full_match(trim(discount_rate), '{NUMBER}')
-         THEN TRY_CAST(trim(discount_rate) AS DECIMAL(38,12)) END AS n_rate,
+         THEN TRY_CAST(trim(discount_rate) AS DECIMAL(38,20)) END AS n_rate,
     nullif(regexp_extract(source_file, '([0-9]{{4}})_([0-9]{{2}})', 1) || '-'
       || regexp_extract(source_file, '([0-9]{{4}})_([0-9]{{2}})', 2), '-') AS period
   FROM {feed}
@@ -203,6 +205,53 @@ _EXACT_NET = (
 )
 
 
+# stored tables with the planted faults of tampered()
+TAMPERED = """
+t_stg AS (SELECT * FROM stg WHERE order_id % 103 <> 11),
+t_facts AS (
+  SELECT m.* REPLACE (CAST(CASE WHEN order_id % 97 = 5 THEN net_sales + 0.01 ELSE net_sales END
+                           AS DECIMAL(14,2)) AS net_sales), ck.customer_key, pk.product_key
+  FROM measured m
+    JOIN (SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS customer_key FROM customers) ck
+      USING (customer_id)
+    JOIN (SELECT product_id, row_number() OVER (ORDER BY product_id) AS product_key FROM products) pk
+      USING (product_id)
+  WHERE order_id % 107 <> 13
+),
+t_rejects AS (
+  SELECT source_file, row_num FROM rejects
+  UNION ALL SELECT source_file, row_num FROM stg WHERE order_id % 101 = 7
+)"""
+
+
+def _stored_constraints() -> str:
+    from tallyworks.operators.audit import UNIQUE, value_checks
+    from tallyworks.schemas import NULLABLE, TABLES
+
+    rows = []
+    for name, columns in TABLES.items():
+        labels = [f"{c} not null" for c in columns if c not in NULLABLE[name]]
+        labels += [*value_checks(name), *[f"{c} unique" for c in UNIQUE.get(name, ())]]
+        rows += [f"SELECT '{name}' AS table_name, '{label}' AS constraint_name, "
+                 "CAST(0 AS BIGINT) AS violations" for label in labels]
+    for key, fault in (("customer_key", "% 89 = 3"), ("product_key", "% 83 = 2")):
+        rows.append(f"SELECT 'fact_sales', '{key} references dimension', count(*) FROM t_facts "
+                    f"WHERE {key} {fault}")
+    return f"WITH {JUDGED},{TAMPERED}\n" + "\nUNION ALL ".join(rows)
+
+
+def _load_report(returned: str) -> str:
+    """Returned lines come again in a file of their own: their facts move."""
+    return f"""WITH {JUDGED},{judged_from(returned, "_2")},
+moved AS (SELECT count(*) AS n FROM measured WHERE order_id IN (SELECT order_id FROM measured_2))
+SELECT 'dim_customers' AS table_name, CAST(0 AS BIGINT) AS removed, CAST(0 AS BIGINT) AS inserted,
+  (SELECT count(*) FROM customers) AS updated
+UNION ALL SELECT 'dim_products', 0, 0, (SELECT count(*) FROM products)
+UNION ALL SELECT 'stg_sales', 0, (SELECT count(*) FROM stg_2), 0
+UNION ALL SELECT 'fact_sales', (SELECT n FROM moved), (SELECT count(*) FROM measured_2), 0
+UNION ALL SELECT 'etl_rejected_sales', 0, (SELECT count(*) FROM rejects_2), 0"""
+
+
 def _per_file(facts: str, lines: str = "facts", net: str = "net_sales") -> str:
     return (
         f"SELECT source_file, count(*) AS {lines}, CAST(sum(net_sales) AS DOUBLE) AS {net} "
@@ -211,29 +260,29 @@ def _per_file(facts: str, lines: str = "facts", net: str = "net_sales") -> str:
 
 
 def _conservation(order: str) -> str:
-    return f"""WITH {JUDGED},{RUNS}
+    return f"""WITH {JUDGED},{RUNS},{TAMPERED}
 SELECT r.source_file, r.rows_extracted,
-  (SELECT count(*) FROM stg s WHERE s.source_file = r.source_file) AS staged,
-  (SELECT count(*) FROM measured s WHERE s.source_file = r.source_file) AS facts,
-  (SELECT count(*) FROM rejects s WHERE s.source_file = r.source_file) AS rejected,
-  r.rows_extracted = (SELECT count(*) FROM stg s WHERE s.source_file = r.source_file)
-    + (SELECT count(*) FROM rejects s WHERE s.source_file = r.source_file) AS conservation_holds,
-  (SELECT count(*) FROM stg s WHERE s.source_file = r.source_file)
-    = (SELECT count(*) FROM measured s WHERE s.source_file = r.source_file) AS staged_equals_facts
+  (SELECT count(*) FROM t_stg s WHERE s.source_file = r.source_file) AS staged,
+  (SELECT count(*) FROM t_facts s WHERE s.source_file = r.source_file) AS facts,
+  (SELECT count(*) FROM t_rejects s WHERE s.source_file = r.source_file) AS rejected,
+  r.rows_extracted = (SELECT count(*) FROM t_stg s WHERE s.source_file = r.source_file)
+    + (SELECT count(*) FROM t_rejects s WHERE s.source_file = r.source_file) AS conservation_holds,
+  (SELECT count(*) FROM t_stg s WHERE s.source_file = r.source_file)
+    = (SELECT count(*) FROM t_facts s WHERE s.source_file = r.source_file) AS staged_equals_facts
 FROM runs r {order}"""
 
 
 def _both(order: str) -> str:
-    return f"""WITH {JUDGED},{RUNS},
+    return f"""WITH {JUDGED},{RUNS},{TAMPERED},
 pairs AS (
   SELECT s.source_file, count(*) AS n
-  FROM stg s JOIN rejects x ON x.source_file = s.source_file AND x.row_num = s.row_num
+  FROM t_stg s JOIN t_rejects x ON x.source_file = s.source_file AND x.row_num = s.row_num
   GROUP BY s.source_file
 )
 SELECT r.source_file, CAST(coalesce(p.n, 0) AS BIGINT) AS in_both,
   CAST(r.rows_extracted
-    - (SELECT count(*) FROM stg s WHERE s.source_file = r.source_file)
-    - (SELECT count(*) FROM rejects s WHERE s.source_file = r.source_file) AS BIGINT) AS in_neither
+    - (SELECT count(*) FROM t_stg s WHERE s.source_file = r.source_file)
+    - (SELECT count(*) FROM t_rejects s WHERE s.source_file = r.source_file) AS BIGINT) AS in_neither
 FROM runs r LEFT JOIN pairs p ON p.source_file = r.source_file {order}"""
 
 
@@ -321,20 +370,22 @@ SELECT row_num, reason_code, order_id AS raw_order_id, quantity AS raw_quantity,
 FROM rejects ORDER BY row_num""",
         "r1_row_conservation": _conservation(""),
         "r1_row_conservation_latest": _conservation(_LATEST),
-        "r2_measure_recompute": f"""WITH {JUDGED}
+        "r2_measure_recompute": f"""WITH {JUDGED},{TAMPERED}
 SELECT count(*) AS rows_compared,
   count(*) FILTER (WHERE m.net_sales <> round({_EXACT_NET}, 2)) AS mismatched_rows,
   CAST(sum(m.net_sales) AS DOUBLE) AS stored_net,
   CAST(sum(round({_EXACT_NET}, 2)) AS DOUBLE) AS recomputed_net,
   sum(m.net_sales) = sum(round({_EXACT_NET}, 2)) AS control_total_matches,
   CAST(round(sum({_EXACT_NET}), 2) AS DOUBLE) AS exact_then_rounded
-FROM stg s JOIN (SELECT order_id, source_file, net_sales FROM measured) m
+FROM t_stg s JOIN (SELECT order_id, source_file, net_sales FROM t_facts) m
   USING (order_id, source_file)""",
-        "r3_orphans": f"""WITH {STAR}
-SELECT CAST(count(*) FILTER (WHERE c.customer_key IS NULL) AS BIGINT) AS orphan_customers,
-  CAST(count(*) FILTER (WHERE p.product_key IS NULL) AS BIGINT) AS orphan_products
-FROM facts f LEFT JOIN customers c ON c.customer_key = f.customer_key
-  LEFT JOIN products p ON p.product_key = f.product_key""",
+        "r3_orphans": f"""WITH {JUDGED},{TAMPERED}
+SELECT count(*) FILTER (WHERE customer_key % 89 = 3) AS orphan_customers,
+  count(*) FILTER (WHERE product_key % 83 = 2) AS orphan_products
+FROM t_facts""",
+        "r4_missing_lines": f"""WITH {JUDGED},{TAMPERED}
+SELECT source_file, row_num FROM judged EXCEPT
+(SELECT source_file, row_num FROM t_stg UNION SELECT source_file, row_num FROM t_rejects)""",
         "r4_both_neither": _both(""),
         "r4_both_neither_latest": _both(_LATEST),
         "r5_additivity_gap": f"""WITH {FACTS}
@@ -344,10 +395,10 @@ SELECT CAST(sum(gross_sales) AS DOUBLE) AS gross, CAST(sum(discount_amount) AS D
   sum(gross_sales) - sum(discount_amount) - sum(net_sales) = -0.03 AS gap_as_expected,
   count(*) FILTER (WHERE gross_sales <> discount_amount + net_sales) AS half_cent_rows
 FROM facts""",
-        "r6_half_cent_rows": f"""WITH {JUDGED}
+        "r6_half_cent_rows": f"""WITH {JUDGED},{TAMPERED}
 SELECT row_num, {_INPUTS}, {_MEASURES},
   CAST(gross_sales - discount_amount - net_sales AS DOUBLE) AS row_gap
-FROM measured WHERE gross_sales <> discount_amount + net_sales ORDER BY row_num""",
+FROM t_facts WHERE order_id % 103 <> 11 AND gross_sales <> discount_amount + net_sales ORDER BY row_num""",
         "r7_key_roundtrip": f"""WITH {STAR}
 SELECT customer_id, product_id, order_id, order_date, {_INPUTS}, {_MEASURES}
 FROM facts JOIN customers USING (customer_key) JOIN products USING (product_key)
@@ -376,7 +427,7 @@ WHERE trim(before) <> '' AND upper(trim(before)) <> before""",
 SELECT row_num, n_order AS order_id, n_date AS order_date, n_customer AS customer_id,
   n_product AS product_id, n_quantity AS quantity,
   CAST(CASE WHEN NOT marked THEN n_price END AS DOUBLE) AS unit_price,
-  CAST(n_rate AS DOUBLE) AS discount_rate
+  CAST(CASE WHEN n_rate = CAST(n_rate AS DECIMAL(38,12)) THEN n_rate END AS DOUBLE) AS discount_rate
 FROM typed""",
         "p_decimal_scale": f"""WITH {FEED}
 SELECT CAST(CASE WHEN regexp_full_match(trim(unit_price), '{NUMBER}')
@@ -405,7 +456,8 @@ FROM feed GROUP BY source_file""",
 old AS (SELECT * FROM customers WHERE customer_key IN
         (SELECT o_custkey FROM orders WHERE o_orderdate < '1996-01-01')),
 new AS (SELECT * FROM customers WHERE customer_key IN
-        (SELECT o_custkey FROM orders WHERE o_orderdate >= '2001-01-01')),
+        (SELECT o_custkey FROM orders WHERE o_orderdate >= '2001-01-01')
+        OR customer_id NOT IN (SELECT customer_id FROM old)),
 ids AS (
   SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS k FROM old
   UNION ALL
@@ -434,7 +486,7 @@ FROM ids JOIN products USING (product_id)""",
         "k_surrogate_resolve": f"""WITH {JUDGED},
 ck AS (SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS customer_key FROM customers),
 pk AS (SELECT product_id, row_number() OVER (ORDER BY product_id) AS product_key FROM products)
-SELECT order_id, row_num, ck.customer_key, pk.product_key
+SELECT source_file, order_id, ck.customer_key, pk.product_key
 FROM stg JOIN ck USING (customer_id) JOIN pk USING (product_id)""",
         "k_reload_idempotent": f"""WITH {JUDGED}
 SELECT source_file, count(*) AS facts_before, CAST(sum(net_sales) AS DOUBLE) AS net_before,
@@ -455,6 +507,7 @@ staged AS (
   FROM (SELECT source_file FROM stg UNION ALL SELECT source_file FROM stg_2) GROUP BY source_file
 )
 SELECT * FROM ({_per_file("after")}) FULL JOIN staged USING (source_file)""",
+        "k_load_report": _load_report(returned),
         "k_fact_preview": f"""WITH {JUDGED}
 SELECT order_id, order_date, customer_id, product_id, {_INPUTS}, {_MEASURES}, row_num, source_file
 FROM measured""",
@@ -463,15 +516,19 @@ SELECT source_file, row_num, reason_code, details AS reason_detail,
   CAST(json_object({", ".join(f"'{f}', {f}" for f in FIELDS)}) AS VARCHAR) AS raw_payload
 FROM rejects""",
         "k_run_log": f"""WITH {JUDGED},{RUNS}
-SELECT source_file AS run_id, source_file, rows_extracted, rows_valid, rows_rejected,
-  rows_valid AS rows_loaded, 'SUCCESS' AS status
+SELECT source_file, 'SUCCESS' AS status, CAST(2 AS BIGINT) AS runs, 2 * rows_extracted AS rows_extracted,
+  2 * rows_valid AS rows_valid, 2 * rows_rejected AS rows_rejected, 2 * rows_valid AS rows_loaded
 FROM runs""",
         "c_constraint_audit": _audit(),
         "c_unique_violations": f"""WITH {FACTS}
 SELECT order_id, count(*) AS n FROM facts GROUP BY order_id HAVING count(*) > 1""",
-        "c_fk_violations": f"""WITH {PRODUCTS},{FEED}
-SELECT upper(trim(product_id)) AS product_id, count(*) AS n FROM feed
+        "c_fk_violations": f"""WITH {CUSTOMERS},{PRODUCTS},{FEED}
+SELECT 'product_id' AS field, upper(trim(product_id)) AS id, count(*) AS n FROM feed
 WHERE trim(product_id) <> ''
-  AND upper(trim(product_id)) NOT IN (SELECT product_id FROM products)
-GROUP BY 1""",
+  AND upper(trim(product_id)) NOT IN (SELECT product_id FROM products) GROUP BY 2
+UNION ALL
+SELECT 'customer_id', upper(trim(customer_id)), count(*) FROM feed
+WHERE trim(customer_id) <> ''
+  AND upper(trim(customer_id)) NOT IN (SELECT customer_id FROM customers) GROUP BY 2""",
+        "c_stored_constraints": _stored_constraints(),
     }

@@ -24,7 +24,8 @@ DECIMAL = r"^[+-]?(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?$"
 NON_FINITE = r"(?i)^[+-]?(inf|infinity|s?nan[0-9]*)$"
 ISO_DATE = r"^[0-9]{4}-[0-9]{1,2}-( [1-9]|[0-9]{1,2})$"
 
-WIDE_DECIMAL = "decimal(38,12)"
+WIDE_SCALE = 12
+WIDE_DECIMAL = f"decimal(38,{WIDE_SCALE})"
 
 
 def trimmed(text: Column) -> Column:
@@ -68,9 +69,38 @@ def is_decimal(text: Column) -> Column:
 
 
 def to_decimal(text: Column) -> Column:
-    """Trimmed text to decimal(38,12); null where it is not finite or does not fit."""
+    """Trimmed text to decimal(38,12); null where it is not finite or does not fit exactly."""
     plain = _ungrouped(text)
-    return F.when(plain.rlike(DECIMAL), plain.try_cast(WIDE_DECIMAL))
+    return F.when(plain.rlike(DECIMAL) & (_needed_places(text) <= WIDE_SCALE), plain.try_cast(WIDE_DECIMAL))
+
+
+def _digits_and_scale(text: Column) -> tuple[Column, Column]:
+    """A decimal as its digits without leading zeros and the places they are moved by."""
+    plain = _ungrouped(text)
+    digits = F.regexp_replace(F.regexp_extract(plain, r"^[+-]?([0-9.]*)", 1), r"[.]", "")
+    return F.ltrim(digits, F.lit("0")), decimal_places(text)
+
+
+def _needed_places(text: Column) -> Column:
+    """Decimal places without zeros at the end; few texts are long enough to be looked at."""
+    digits, scale = _digits_and_scale(text)
+    trailing = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
+    exact = F.when(digits == "", F.lit(0)).otherwise(scale - trailing)
+    short = (F.length(text) <= WIDE_SCALE) & ~text.rlike("[eE]")
+    return F.when(short, F.lit(0)).otherwise(exact)
+
+
+def is_one(text: Column) -> Column:
+    """A decimal that is one as written, however many digits it has."""
+    digits, scale = _digits_and_scale(text)
+    bare = F.rtrim(digits, F.lit("0"))
+    return ~text.startswith("-") & (bare == "1") & (F.length(digits) - 1 == scale)
+
+
+def is_above_one(text: Column) -> Column:
+    """A decimal greater than one as written."""
+    digits, scale = _digits_and_scale(text)
+    return ~text.startswith("-") & (digits != "") & (F.length(digits) - 1 >= scale) & ~is_one(text)
 
 
 def to_iso_date(text: Column) -> Column:
@@ -98,14 +128,14 @@ def _has_digit(text: Column) -> Column:
     return text.rlike(r"^[+-]?[0-9._]*[1-9]")
 
 
-def is_zero(value: Column, text: Column) -> Column:
-    """A decimal that is zero as written, not only after its cast."""
-    return (value == 0) & ~_has_digit(text)
+def is_zero(text: Column) -> Column:
+    """A decimal that is zero as written."""
+    return ~_has_digit(text)
 
 
-def is_negative(value: Column, text: Column) -> Column:
-    """A decimal below zero, even one so close to it that its cast is zero."""
-    return (value < 0) | ((value == 0) & text.startswith("-") & _has_digit(text))
+def is_negative(text: Column) -> Column:
+    """A decimal below zero as written, however close to it."""
+    return text.startswith("-") & _has_digit(text)
 
 
 def integer_text(text: Column) -> Column:

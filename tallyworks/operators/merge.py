@@ -1,4 +1,4 @@
-"""Dimension upsert, key resolution and the reload algebra."""
+"""Dimension upsert, key resolution and which facts a load replaces."""
 
 from __future__ import annotations
 
@@ -91,22 +91,3 @@ def doomed_orders(staged: DataFrame, load: DataFrame, files: DataFrame) -> DataF
     """Order ids whose facts a load replaces: those staged earlier for its files, and its own."""
     earlier = staged.join(files.select("source_file"), "source_file", "left_semi")
     return earlier.select("order_id").union(load.select("order_id")).distinct()
-
-
-def reload_facts(
-    facts: DataFrame, staged: DataFrame, load: DataFrame, files: DataFrame
-) -> DataFrame:
-    """Facts after a load, as a difference and a union."""
-    doomed = doomed_orders(staged, load, files)
-    return facts.join(doomed, "order_id", "left_anti").unionByName(load)
-
-
-def reload_by_file(table: DataFrame, load: DataFrame, files: DataFrame) -> DataFrame:
-    """Staging or rejects after a load: the rows of its files are replaced."""
-    kept = table.join(files.select("source_file"), "source_file", "left_anti")
-    return kept.unionByName(load)
-
-
-def append_run(log: DataFrame, runs: DataFrame) -> DataFrame:
-    """Run log after a load; a run id already there takes the later outcome."""
-    return log.join(runs.select("run_id"), "run_id", "left_anti").unionByName(runs)

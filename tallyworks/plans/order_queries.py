@@ -17,6 +17,7 @@ from tallyworks.plans import reconcile as R
 from tallyworks.schemas import PREVIEW_COLUMNS, SALES_FIELDS, TABLES, ddl
 from tallyworks.sources import order_tables as O
 from tallyworks.sources import reference_json as REF
+from tallyworks.plans.warehouse import Warehouse
 from tallyworks.sources.sales_text import read_sales
 from tallyworks.workspace import Workspace
 
@@ -50,21 +51,6 @@ class Load:
     def rejects(self) -> DataFrame:
         return J.rejected(self.judged, O.TODAY).withColumn("run_id", F.col("source_file"))
 
-    @property
-    def runs(self) -> DataFrame:
-        """One run per file; the file name stands for the run id."""
-        clean = F.expr(J.IS_CLEAN)
-        return self.judged.groupBy("source_file").agg(
-            F.count(F.lit(1)).alias("rows_extracted"),
-            F.count_if(clean).alias("rows_valid"),
-            F.count_if(~clean).alias("rows_rejected"),
-        ).select(
-            F.col("source_file").alias("run_id"), "source_file",
-            F.to_timestamp(F.lit(O.TODAY.isoformat())).alias("started_at"),
-            "rows_extracted", "rows_valid", "rows_rejected",
-            F.col("rows_valid").alias("rows_loaded"), F.lit("SUCCESS").alias("status"),
-        )
-
 
 def judged_load(
     spark: SparkSession, sf_dir: str, settle: bool = False, keep_feed: bool = False
@@ -83,6 +69,62 @@ def judged_load(
     return Load(space, feed, judged)
 
 
+def loaded(load: Load, warehouse: Warehouse, spark: SparkSession, sf_dir: str) -> str:
+    """Put a judged load into a warehouse; returns the load's id."""
+    judged = load.judged
+    load_id = warehouse.next_load_id()
+    files = judged.groupBy("source_file").agg(F.max("row_num").alias("last_row"))
+    warehouse.load(
+        judged, load.space.settle(J.rejected(judged, O.TODAY), "rejects"), files,
+        O.customers(spark, sf_dir).drop("customer_key"), O.products(spark, sf_dir).drop("product_key"),
+        load.space, load_id,
+    )
+    return load_id
+
+
+def stored_load(spark: SparkSession, sf_dir: str, keep_feed: bool = False) -> tuple[Load, Warehouse]:
+    """The feed judged and loaded into a new warehouse."""
+    load = judged_load(spark, sf_dir, settle=True, keep_feed=keep_feed)
+    warehouse = Warehouse(spark, load.space.path("warehouse"))
+    loaded(load, warehouse, spark, sf_dir)
+    return load, warehouse
+
+
+# Faults planted in stored tables for the checks to find, by remainders of keys.
+UNSTAGED, TWICE, NO_FACT, ALTERED = (103, 11), (101, 7), (107, 13), (97, 5)
+NO_CUSTOMER, NO_PRODUCT = (89, 3), (83, 2)
+
+
+def _planted(column: str, fault: tuple[int, int]) -> Column:
+    return F.col(column) % fault[0] == fault[1]
+
+
+def tampered(warehouse: Warehouse, space: Workspace) -> dict[str, DataFrame]:
+    """The tables of a warehouse as a faulty load would leave them, written and read back."""
+    tables = {name: warehouse.read(name) for name in TABLES}
+    staged = tables["stg_sales"]
+    twice = staged.where(_planted("order_id", TWICE)).select(
+        "run_id", "source_file", "row_num", F.lit("MISSING_FIELD").alias("reason_code"),
+        F.lit(-1).cast("bigint").alias("rejected_id"), F.lit("{}").alias("raw_payload"),
+        F.array(F.lit("MISSING_FIELD")).alias("reason_codes"), F.col("loaded_at").alias("rejected_at"),
+    )
+    altered = F.when(_planted("order_id", ALTERED), F.col("net_sales") + F.lit("0.01").cast("decimal(14,2)"))
+    changed = {
+        "stg_sales": staged.where(~_planted("order_id", UNSTAGED)),
+        "fact_sales": tables["fact_sales"].where(~_planted("order_id", NO_FACT)).withColumn(
+            "net_sales", F.coalesce(altered, F.col("net_sales")).cast("decimal(14,2)")),
+        "etl_rejected_sales": tables["etl_rejected_sales"].unionByName(twice, allowMissingColumns=True),
+        "dim_customers": tables["dim_customers"].where(~_planted("customer_key", NO_CUSTOMER)),
+        "dim_products": tables["dim_products"].where(~_planted("product_key", NO_PRODUCT)),
+    }
+    return tables | {name: space.settle(df, name) for name, df in changed.items()}
+
+
+def faulty_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    load, warehouse = stored_load(spark, sf_dir)
+    return tampered(warehouse, load.space)
+
+
 # --- Q1 to Q5b --------------------------------------------------------------------------
 
 
@@ -120,9 +162,9 @@ def q5b_rejected_payload_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _conservation(spark: SparkSession, sf_dir: str, latest: bool) -> DataFrame:
-    load = judged_load(spark, sf_dir, settle=True)
-    runs = R.latest_run(load.runs) if latest else load.runs
-    return R.row_conservation(runs, load.valid, load.valid, load.rejects)
+    t = faulty_tables(spark, sf_dir)
+    runs = R.latest_run(t["etl_run_log"]) if latest else t["etl_run_log"]
+    return R.row_conservation(runs, t["stg_sales"], t["fact_sales"], t["etl_rejected_sales"])
 
 
 def r1_row_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,21 +176,21 @@ def r1_row_conservation_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def r2_measure_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    load = judged_load(spark, sf_dir, settle=True)
-    checked = R.recomputed_measures(load.valid, load.valid)
+    t = faulty_tables(spark, sf_dir)
+    checked = R.recomputed_measures(t["fact_sales"], t["stg_sales"])
     return as_double(checked, "stored_net", "recomputed_net", "exact_then_rounded")
 
 
 def r3_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.orphans(
-        O.fact_lines(spark, sf_dir), O.customers(spark, sf_dir), O.products(spark, sf_dir)
-    )
+    t = faulty_tables(spark, sf_dir)
+    return R.orphans(t["fact_sales"], t["dim_customers"], t["dim_products"])
 
 
 def _both(spark: SparkSession, sf_dir: str, latest: bool) -> DataFrame:
-    load = judged_load(spark, sf_dir, settle=True)
-    runs = R.latest_run(load.runs) if latest else load.runs
-    return as_long(R.both_or_neither(runs, load.valid, load.rejects), "in_both", "in_neither")
+    t = faulty_tables(spark, sf_dir)
+    runs = R.latest_run(t["etl_run_log"]) if latest else t["etl_run_log"]
+    found = R.both_or_neither(runs, t["stg_sales"], t["etl_rejected_sales"])
+    return as_long(found, "in_both", "in_neither")
 
 
 def r4_both_neither(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +201,13 @@ def r4_both_neither_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both(spark, sf_dir, latest=True)
 
 
+def r4_missing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that are neither staged nor rejected, by file and number."""
+    load, warehouse = stored_load(spark, sf_dir)
+    t = tampered(warehouse, load.space)
+    return R.missing_lines(load.judged, t["stg_sales"], t["etl_rejected_sales"])
+
+
 def r5_additivity_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     # -0.03 is the gap predicted for the demonstration file; over these lines it is another
     report = R.additivity_gap(O.fact_lines(spark, sf_dir, orders=False), "-0.03")
@@ -166,9 +215,9 @@ def r5_additivity_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def r6_half_cent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    load = judged_load(spark, sf_dir, settle=True)
+    t = faulty_tables(spark, sf_dir)
     return as_double(
-        R.gap_rows(load.valid, load.valid),
+        R.gap_rows(t["fact_sales"], t["stg_sales"]),
         "unit_price", "discount_rate", "gross_sales", "discount_amount", "net_sales", "row_gap",
     )
 
@@ -414,7 +463,8 @@ def _seen_customers(spark: SparkSession, sf_dir: str, when: str) -> DataFrame:
 
 
 def k_dim_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of the first year, under old attributes, then those of the last months."""
+    """Customers of the first year, under old attributes, then those of the last months and all
+    who didn't buy in the first year."""
     space = Workspace(spark)
     old = _seen_customers(spark, sf_dir, f"o_orderdate < '{EARLY}'").select(
         "customer_id",
@@ -423,7 +473,9 @@ def k_dim_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("NONE").alias("segment"),
         F.to_date(F.lit("1995-01-01")).alias("signup_date"),
     )
-    new = _seen_customers(spark, sf_dir, f"o_orderdate >= '{LATE}'").drop("customer_key")
+    late = _seen_customers(spark, sf_dir, f"o_orderdate >= '{LATE}'").drop("customer_key")
+    others = O.customers(spark, sf_dir).drop("customer_key").join(old, "customer_id", "left_anti")
+    new = late.unionByName(others).distinct()
     empty = spark.createDataFrame([], ddl(TABLES["dim_customers"]))
     first = M.upsert_dim(empty, old, "customer_id", "customer_key", space)
     first = space.settle(first, "first-load")
@@ -449,14 +501,11 @@ def k_dim_upsert_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k_surrogate_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted rows with the surrogate keys of dimensions numbered in id order."""
-    load = judged_load(spark, sf_dir)
-    keys = {}
-    for name, dim in (("customer", O.customers), ("product", O.products)):
-        ids = dim(spark, sf_dir).select(f"{name}_id")
-        keys[name] = M.dense_numbers(ids, load.space, f"{name}_key", order=f"{name}_id")
-    facts = M.resolve_keys(load.valid, keys["customer"], keys["product"])
-    return facts.select("order_id", "row_num", "customer_key", "product_key")
+    """Stored facts with the surrogate keys of dimensions numbered in id order."""
+    _, warehouse = stored_load(spark, sf_dir)
+    return warehouse.read("fact_sales").select(
+        "source_file", "order_id", "customer_key", "product_key"
+    )
 
 
 def _per_file(facts: DataFrame, lines: str = "facts", net: str = "net_sales") -> DataFrame:
@@ -467,48 +516,54 @@ def _per_file(facts: DataFrame, lines: str = "facts", net: str = "net_sales") ->
 
 def k_reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file loaded twice: the facts of the second load stand in for the first."""
-    load = judged_load(spark, sf_dir, settle=True)
-    files = load.valid.select("source_file").distinct()
-    again = M.reload_facts(load.valid, load.valid, load.valid, files)
-    before = _per_file(load.valid, "facts_before", "net_before")
-    return before.join(_per_file(again, "facts_after", "net_after"), "source_file", "full_outer")
+    load, warehouse = stored_load(spark, sf_dir)
+    before = load.space.settle(
+        _per_file(warehouse.read("fact_sales"), "facts_before", "net_before"), "before"
+    )
+    loaded(load, warehouse, spark, sf_dir)
+    after = _per_file(warehouse.read("fact_sales"), "facts_after", "net_after")
+    return before.join(after, "source_file", "full_outer")
+
+
+def _judged_again(spark: SparkSession, sf_dir: str, load: Load, feed: DataFrame) -> Load:
+    judged = J.judge(feed, O.customers(spark, sf_dir), O.products(spark, sf_dir), O.TODAY, load.space)
+    return Load(load.space, feed, load.space.settle(judged, "judged-again"))
 
 
 def k_reload_stale_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every file sent again without its returned lines: their facts must go."""
-    load = judged_load(spark, sf_dir, settle=True, keep_feed=True)
-    feed = load.feed.where("l_returnflag <> 'R'")
-    customers, products = O.customers(spark, sf_dir), O.products(spark, sf_dir)
-    second = load.space.settle(
-        J.judge(feed, customers, products, O.TODAY, load.space), "judged-again"
+    load, warehouse = stored_load(spark, sf_dir, keep_feed=True)
+    second = _judged_again(spark, sf_dir, load, load.feed.where("l_returnflag <> 'R'"))
+    first_runs = load.space.settle(
+        warehouse.read("etl_run_log").select("run_id", F.lit(True).alias("_first")), "first-runs"
     )
-    arrived = J.accepted(second).withColumn("run_id", F.lit("second"))
-    first = load.valid.withColumn("run_id", F.lit("first"))
-    files = load.feed.select("source_file").distinct()
-    after = M.reload_facts(first, first, arrived, files)
-    return _per_file(after).join(
-        after.groupBy("source_file").agg(F.count_if(F.col("run_id") == "first").alias("stale")),
-        "source_file",
+    loaded(second, warehouse, spark, sf_dir)
+    facts = warehouse.read("fact_sales").join(first_runs, "run_id", "left")
+    return _per_file(facts).join(
+        facts.groupBy("source_file").agg(F.count("_first").alias("stale")), "source_file"
     )
 
 
-def k_reload_cross_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Returned lines sent again under one other file name: it takes their facts over, while the
-    staging rows of the first files stay."""
-    load = judged_load(spark, sf_dir, settle=True, keep_feed=True)
+def _returns_loaded(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, str]:
+    """All lines loaded, then the returned ones sent again under one other file name."""
+    load, warehouse = stored_load(spark, sf_dir, keep_feed=True)
     feed = load.feed.where("l_returnflag = 'R'").withColumn("source_file", F.lit("returns.csv"))
-    customers, products = O.customers(spark, sf_dir), O.products(spark, sf_dir)
-    second = load.space.settle(
-        J.judge(feed, customers, products, O.TODAY, load.space), "judged-again"
-    )
-    arrived = J.accepted(second).withColumn("run_id", F.lit("returns.csv"))
-    files = arrived.select("source_file").distinct()
-    facts = M.reload_facts(load.valid, load.valid, arrived, files)
-    staged = M.reload_by_file(load.valid, arrived, files)
-    return _per_file(facts).join(
-        staged.groupBy("source_file").agg(F.count(F.lit(1)).alias("staged")),
-        "source_file", "full_outer",
-    )
+    second = _judged_again(spark, sf_dir, load, feed)
+    return warehouse, loaded(second, warehouse, spark, sf_dir)
+
+
+def k_reload_cross_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other file takes the returned lines' facts over, while the staging rows of the first
+    files stay."""
+    warehouse, _ = _returns_loaded(spark, sf_dir)
+    staged = warehouse.read("stg_sales").groupBy("source_file").agg(F.count(F.lit(1)).alias("staged"))
+    return _per_file(warehouse.read("fact_sales")).join(staged, "source_file", "full_outer")
+
+
+def k_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second of these loads removed, inserted and updated."""
+    warehouse, load_id = _returns_loaded(spark, sf_dir)
+    return warehouse.load_report(load_id).drop("load_id")
 
 
 def k_fact_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -525,10 +580,13 @@ def k_rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The run log after the same runs are logged twice."""
-    load = judged_load(spark, sf_dir, settle=True)
-    log = M.append_run(load.runs, load.runs)
-    return log.drop("started_at")
+    """The run log of a warehouse after every file is loaded twice: a run for each."""
+    load, warehouse = stored_load(spark, sf_dir)
+    loaded(load, warehouse, spark, sf_dir)
+    return warehouse.read("etl_run_log").groupBy("source_file", "status").agg(
+        F.count_distinct("run_id").alias("runs"),
+        *[F.sum(f"rows_{c}").alias(f"rows_{c}") for c in ("extracted", "valid", "rejected", "loaded")],
+    )
 
 
 # --- constraints ------------------------------------------------------------------------
@@ -549,10 +607,18 @@ def c_unique_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def c_fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows per product id that the dimension lacks."""
+    """Raw rows per customer or product id that the dimension lacks."""
     feed = J.parsed(O.raw_feed(spark, sf_dir, Workspace(spark)))
-    named = feed.where("product_id is not null")
-    return orphan_counts(named, O.products(spark, sf_dir), "product_id")
+    parts = []
+    for key, dim in (("customer_id", O.customers), ("product_id", O.products)):
+        lost = orphan_counts(feed.where(F.col(key).isNotNull()), dim(spark, sf_dir), key)
+        parts.append(lost.select(F.lit(key).alias("field"), F.col(key).alias("id"), "n"))
+    return parts[0].unionByName(parts[1])
+
+
+def c_stored_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Constraints of all six stored tables, some dimension rows being gone."""
+    return constraint_audit(faulty_tables(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -561,7 +627,7 @@ QUERIES: dict[str, Query] = {
         q1_revenue_per_day, q2_product_revenue, q3_region_revenue_share, q4_customer_ltv,
         q5_rejections_by_reason, q5b_rejected_payload_fields,
         r1_row_conservation, r1_row_conservation_latest, r2_measure_recompute, r3_orphans,
-        r4_both_neither, r4_both_neither_latest, r5_additivity_gap, r6_half_cent_rows,
+        r4_both_neither, r4_both_neither_latest, r4_missing_lines, r5_additivity_gap, r6_half_cent_rows,
         r7_key_roundtrip,
         v_judge_primary_code, v_defect_codes, v_split_counts, v_dedup_first_accepted,
         v_unknown_fk, v_secondary_code_counts, v_rows_with_code,
@@ -569,8 +635,8 @@ QUERIES: dict[str, Query] = {
         s_period_from_filename, s_csv_scan, s_csv_row_numbers, s_file_gate, s_json_reference,
         s_json_lines_reference, s_product_reference,
         k_dim_upsert_customers, k_dim_upsert_products, k_surrogate_resolve,
-        k_reload_idempotent, k_reload_stale_removed, k_reload_cross_file, k_fact_preview,
+        k_reload_idempotent, k_reload_stale_removed, k_reload_cross_file, k_load_report, k_fact_preview,
         k_rejected_records, k_run_log,
-        c_constraint_audit, c_unique_violations, c_fk_violations,
+        c_constraint_audit, c_unique_violations, c_fk_violations, c_stored_constraints,
     )
 }

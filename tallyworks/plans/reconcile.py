@@ -89,9 +89,13 @@ def both_or_neither(runs: DataFrame, staged: DataFrame, rejects: DataFrame) -> D
     join, so a line that repeats adds its pairs without producing them.
     """
     line = ["source_file", "row_num"]
-    left = staged.groupBy("run_id", *line).agg(F.count(F.lit(1)).alias("s"))
-    right = rejects.groupBy(*line).agg(F.count(F.lit(1)).alias("r"))
-    pairs = left.join(right, line).groupBy("run_id").agg(
+    left = staged.select("run_id", *line, F.lit(1).alias("s"), F.lit(0).alias("r"))
+    right = rejects.select(F.lit(None).cast("string").alias("run_id"), *line, F.lit(0).alias("s"), F.lit(1).alias("r"))
+    # both sides meet in one grouping by line, after partial counts
+    lines = left.unionByName(right).groupBy(*line, "run_id").agg(F.sum("s").alias("s"), F.sum("r").alias("r"))
+    lines = lines.groupBy(*line).agg(
+        F.collect_list(F.when(F.col("s") > 0, F.struct("run_id", "s"))).alias("runs"), F.sum("r").alias("r"))
+    pairs = lines.where("r > 0").select(F.inline("runs"), "r").groupBy("run_id").agg(
         F.sum(F.col("s") * F.col("r")).alias("in_both")
     )
     counted = (
@@ -107,6 +111,13 @@ def both_or_neither(runs: DataFrame, staged: DataFrame, rejects: DataFrame) -> D
     )
 
 
+def missing_lines(extracted: DataFrame, staged: DataFrame, rejects: DataFrame) -> DataFrame:
+    """The extracted lines that are neither staged nor rejected: file and line."""
+    line = ["source_file", "row_num"]
+    found = staged.select(*line).unionByName(rejects.select(*line))
+    return extracted.select(*line).join(found, line, "left_anti")
+
+
 def additivity_gap(facts: DataFrame, expected: Decimal | str) -> DataFrame:
     """Check 5: the gap that separate rounding leaves, against the value predicted for the data."""
     unequal = F.col("gross_sales") != F.col("discount_amount") + F.col("net_sales")

@@ -28,18 +28,29 @@ DIMENSIONS = {
 ALL_FILES = "*"
 ROWS_PER_FILE = 4_000_000
 
-# The ledger: which load is current for a table and file, the last key given out, and, on rows
-# of kind etl_run_log, the run itself.
-LEDGER = {"load_id": "string", "kind": "string", "last_key": "bigint"} | TABLES["etl_run_log"]
+# The ledger: which load is current for a table and file, the last key given out, for facts the
+# least and greatest order id, and, on rows of kind etl_run_log, the run itself.
+LEDGER = {
+    "load_id": "string", "kind": "string", "last_key": "bigint", "low": "bigint", "high": "bigint",
+} | TABLES["etl_run_log"]
+# What each load did to each table.
+REPORT = {
+    "load_id": "string", "table_name": "string", "removed": "bigint", "inserted": "bigint",
+    "updated": "bigint",
+}
 
 
 class ConstraintViolation(Exception):
     """A load whose new rows break a table constraint; it is not published."""
 
 
-def new_load_id() -> str:
-    """Sorts by time, so the greatest id is the latest load."""
-    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+class ConcurrentLoad(Exception):
+    """Another load was published since this one began; this one is not."""
+
+
+def load_id_after(last: str) -> str:
+    """Counts up, whatever clocks say, so the greatest id is the latest load."""
+    return f"{int(last.partition('-')[0] or 0) + 1:012d}-{uuid.uuid4().hex[:8]}"
 
 
 def run_id_of(load_id: str) -> Column:
@@ -58,8 +69,9 @@ class Warehouse:
 
     def ensure_tables(self) -> None:
         """Create what is absent; an existing table is left as it is, columns included."""
-        for name in (*BY_FILE, *DIMENSIONS, "ledger"):
-            columns = LEDGER if name == "ledger" else self._stored(name)
+        plain = {"ledger": LEDGER, "load_report": REPORT}
+        for name in (*BY_FILE, *DIMENSIONS, *plain):
+            columns = plain.get(name) or self._stored(name)
             parts = self._partitions(name)
             writer = self.spark.createDataFrame([], ddl(columns)).write.mode("ignore")
             (writer.partitionBy(*parts) if parts else writer).parquet(f"{self.root}/{name}")
@@ -67,6 +79,18 @@ class Warehouse:
     def ledger(self) -> DataFrame:
         return self.spark.read.schema(ddl(LEDGER)).parquet(f"{self.root}/ledger")
 
+    def next_load_id(self) -> str:
+        self.ensure_tables()
+        return load_id_after(self._greatest_load())
+
+    def _greatest_load(self) -> str:
+        return self.ledger().agg(F.max("load_id").alias("load_id")).first()["load_id"] or ""
+
+    def load_report(self, load_id: str | None = None) -> DataFrame:
+        """Rows removed, inserted and updated by table, of one load or all."""
+        rows = self.spark.read.schema(ddl(REPORT)).parquet(f"{self.root}/load_report")
+        return rows if load_id is None else rows.where(F.col("load_id") == F.lit(load_id))
+
     def read(self, name: str) -> DataFrame:
         """The current rows of a table."""
         if name == "etl_run_log":
@@ -82,7 +106,8 @@ class Warehouse:
     def current(self, name: str) -> DataFrame:
         """The load whose rows count, for each file of a table."""
         rows = self.ledger().where(F.col("kind") == name)
-        return rows.groupBy("source_file").agg(F.max("load_id").alias("load_id"))
+        last = F.max(F.struct("load_id", "low", "high")).alias("last")
+        return rows.groupBy("source_file").agg(last).select("source_file", "last.*")
 
     def _latest(self, name: str) -> str:
         rows = self.ledger().where(F.col("kind") == name)
@@ -93,7 +118,7 @@ class Warehouse:
 
     @staticmethod
     def _partitions(name: str) -> tuple[str, ...]:
-        if name == "ledger":
+        if name in ("ledger", "load_report"):
             return ()
         return ("source_file", "load_id") if name in BY_FILE else ("load_id",)
 
@@ -122,15 +147,17 @@ class Warehouse:
         ``files`` has one row per file of the load: ``source_file`` and ``last_row``, its last
         line number. Returns the run log rows of the load.
         """
-        load_id = load_id or new_load_id()
-        started_at = started_at or dt.datetime.now()
         self.ensure_tables()
+        seen = self._greatest_load()
+        load_id = load_id or load_id_after(seen)
+        started_at = started_at or dt.datetime.now()
         files = space.settle(files.select("source_file", "last_row"), "files")
         run_id, stamp = run_id_of(load_id), F.lit(dt.datetime.now())
 
-        dims = {}
+        dims, changes = {}, []
         for name, incoming in (("dim_customers", customers), ("dim_products", products)):
             id_column, key = DIMENSIONS[name]
+            changes.append(self._dimension_changes(name, incoming, id_column))
             merged = M.upsert_dim(self.read(name), incoming, id_column, key, space, stamp)
             self._write(merged, name, load_id)
             dims[name] = self._written(name, load_id)
@@ -139,9 +166,7 @@ class Warehouse:
         staged = valid.withColumn("loaded_at", stamp)
         self._write(staged, "stg_sales", load_id)
 
-        winners = valid
-        if files.limit(2).count() > 1:
-            winners = M.last_file_wins(valid, files, space)
+        winners = M.last_file_wins(valid, files, space)
         facts = M.resolve_keys(winners, dims["dim_customers"], dims["dim_products"])
         facts, sales_end = self._keyed(facts, "fact_sales", "sales_key", files, space)
         self._write(facts.withColumn("loaded_at", stamp), "fact_sales", load_id)
@@ -153,10 +178,12 @@ class Warehouse:
 
         displaced = self._displace(winners, files, load_id, space)
 
-        self._audit(load_id, dims)
         runs = self._runs(load_id, files, judged, started_at)
+        self._audit(load_id, dims, runs)
+        report = space.settle(self._report(load_id, files, displaced, changes), "report")
         ends = {"fact_sales": sales_end, "etl_rejected_sales": reject_end}
-        self._publish(load_id, files, displaced, runs, ends)
+        self._publish(load_id, seen, files, displaced, runs, ends)
+        report.coalesce(1).write.mode("append").parquet(f"{self.root}/load_report")
         return self.read("etl_run_log").join(runs.select("run_id"), "run_id", "left_semi")
 
     def _keyed(
@@ -189,8 +216,17 @@ class Warehouse:
         Those are the ids staged earlier for the files of the load and the load's own. Only files
         that hold such an id are rewritten; their staging rows stay. Returns these files.
         """
-        doomed = M.doomed_orders(self.read("stg_sales"), load, files)
-        others = self.read("fact_sales").join(files, "source_file", "left_anti")
+        doomed = space.settle(M.doomed_orders(self.read("stg_sales"), load, files), "doomed")
+        ends = doomed.agg(F.min("order_id").alias("low"), F.max("order_id").alias("high")).first()
+        # one row per file: only partitions whose ids can overlap are opened
+        near = self.current("fact_sales").join(files, "source_file", "left_anti").where(
+            (F.col("high") >= F.lit(ends.low)) & (F.col("low") <= F.lit(ends.high))
+        )
+        stored = self.spark.read.schema(ddl(self._stored("fact_sales"))).parquet(
+            f"{self.root}/fact_sales"
+        )
+        others = stored.join(space.settle(near.select("source_file", "load_id"), "near"),
+                             ["source_file", "load_id"], "left_semi").drop("load_id")
         hit = others.join(doomed, "order_id", "left_semi").select("source_file").distinct()
         hit = space.settle(hit, "displaced")
         if not hit.isEmpty():
@@ -214,8 +250,67 @@ class Warehouse:
         stored = self.spark.read.schema(ddl(self._stored(name))).parquet(f"{self.root}/{name}")
         return stored.where(F.col("load_id") == F.lit(load_id)).drop("load_id")
 
-    def _audit(self, load_id: str, dims: dict[str, DataFrame]) -> None:
+    def _dimension_changes(self, name: str, incoming: DataFrame, id_column: str) -> DataFrame:
+        known = self.read(name).select(id_column, F.lit(True).alias("_known"))
+        return incoming.select(id_column).join(known, id_column, "left").agg(
+            F.lit(name).alias("table_name"),
+            F.lit(0).cast("bigint").alias("removed"),
+            F.count_if(F.col("_known").isNull()).alias("inserted"),
+            F.count("_known").alias("updated"),
+        )
+
+    def _report(
+        self, load_id: str, files: DataFrame, displaced: DataFrame, changes: list[DataFrame]
+    ) -> DataFrame:
+        """Counts before publishing: what was current for the files of the load goes, and of
+        other files' facts those that were not written again."""
+        rows = changes[0]
+        for more in changes[1:]:
+            rows = rows.unionByName(more)
+        for name in BY_FILE:
+            touched = files.select("source_file").union(displaced.select("source_file")) \
+                if name == "fact_sales" else files.select("source_file")
+            before = self.read(name).join(touched, "source_file", "left_semi").select(
+                "source_file", F.lit(1).alias("old"), F.lit(0).alias("new"))
+            after = self._written(name, load_id).select(
+                "source_file", F.lit(0).alias("old"), F.lit(1).alias("new"))
+            again = displaced.select("source_file", F.lit(True).alias("_again")) \
+                if name == "fact_sales" else files.select("source_file", F.lit(False).alias("_again"))
+            both = before.unionByName(after).groupBy("source_file").agg(
+                F.sum("old").alias("old"), F.sum("new").alias("new")).join(again, "source_file", "left")
+            kept = F.when(F.col("_again"), F.col("new")).otherwise(F.lit(0))
+            rows = rows.unionByName(both.agg(
+                F.lit(name).alias("table_name"),
+                F.coalesce(F.sum(F.col("old") - kept), F.lit(0)).alias("removed"),
+                F.coalesce(F.sum(F.col("new") - kept), F.lit(0)).alias("inserted"),
+                F.lit(0).cast("bigint").alias("updated"),
+            ))
+        return rows.withColumn("load_id", F.lit(load_id)).select(*REPORT)
+
+    def remove_replaced(self) -> int:
+        """Delete the partitions of loads that no file points to any more; returns how many.
+
+        Run it when no reader still holds an older snapshot.
+        """
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        removed = 0
+        for name in (*BY_FILE, *DIMENSIONS):
+            keys = list(self._partitions(name))
+            stored = self.spark.read.schema(ddl(self._stored(name))).parquet(f"{self.root}/{name}")
+            paths = stored.select(*keys, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("path"))
+            if name in DIMENSIONS:
+                old = paths.where(F.col("load_id") < F.lit(self._latest(name)))
+            else:
+                old = paths.join(self.current(name), keys, "left_anti")
+            for row in old.select("path").distinct().toLocalIterator():
+                folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.path))
+                removed += bool(folder.getFileSystem(conf).delete(folder, True))
+        return removed
+
+    def _audit(self, load_id: str, dims: dict[str, DataFrame], runs: DataFrame) -> None:
         tables = {name: self._written(name, load_id) for name in BY_FILE} | dims
+        tables["etl_run_log"] = self.read("etl_run_log").unionByName(runs)
         broken = constraint_audit(tables).where("violations > 0").collect()
         if broken:
             raise ConstraintViolation(
@@ -251,11 +346,16 @@ class Warehouse:
     def _publish(
         self,
         load_id: str,
+        seen: str,
         files: DataFrame,
         displaced: DataFrame,
         runs: DataFrame,
         ends: dict[str, int],
     ) -> None:
+        bounds = self._written("fact_sales", load_id).groupBy("source_file").agg(
+            F.min("order_id").alias("low"), F.max("order_id").alias("high")
+        )
+
         def entries(kind: str, names: DataFrame, last_key: int | None = None) -> DataFrame:
             return names.select("source_file").withColumns(
                 {"kind": F.lit(kind), "last_key": F.lit(last_key).cast("bigint")}
@@ -264,10 +364,14 @@ class Warehouse:
         everything = files.limit(1).select(F.lit(ALL_FILES).alias("source_file"))
         rows = runs.withColumn("kind", F.lit("etl_run_log"))
         for name in BY_FILE:
-            rows = rows.unionByName(entries(name, files, ends.get(name)), allowMissingColumns=True)
-        rows = rows.unionByName(entries("fact_sales", displaced), allowMissingColumns=True)
+            given = entries(name, files, ends.get(name))
+            if name == "fact_sales":
+                given = given.unionByName(entries(name, displaced)).join(bounds, "source_file", "left")
+            rows = rows.unionByName(given, allowMissingColumns=True)
         for name in DIMENSIONS:
             rows = rows.unionByName(entries(name, everything), allowMissingColumns=True)
         # a few small rows per file of the load, in one output file: it appears whole or not
         ledger = rows.withColumn("load_id", F.lit(load_id)).select(*LEDGER)
+        if self._greatest_load() != seen:
+            raise ConcurrentLoad(f"the warehouse moved on from load {seen or 'none'}")
         ledger.coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")

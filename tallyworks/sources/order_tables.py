@@ -26,7 +26,7 @@ PLANTED = {
     "product_id": {9: "P999999999"},
     "quantity": {1: "-2", 10: "three", 11: "0", 12: "5000", 13: "-2"},
     "unit_price": {14: "abc", 16: "1,299.00", 17: "19.999", 18: "0.00", 19: "NaN"},
-    "discount_rate": {20: "ten percent", 21: "1.00", 22: "1.50", 23: "-0.10"},
+    "discount_rate": {20: "ten percent", 21: "1.00", 22: "1.50", 23: "-0.10", 25: "1.0000000000001"},
 }
 BAD_ORDER, LOOSE_CUSTOMER, DOLLAR_PRICE = 1, 8, 15
 
@@ -88,12 +88,10 @@ def numbered_lines(spark: SparkSession, sf_dir: str, space: Workspace) -> DataFr
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_index"),
     )
-    if len(lines.inputFiles()) == 1:
-        return spread(lines).select(*_LINE, (F.col("_index") + 2).alias("row_num"))
     counts = lines.groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
     # written first: one small row per file is then joined by its true size
     files = space.settle(block_offsets(counts, "_file").select("_file", "offset"), "file-offsets")
-    placed = lines.join(files, "_file")
+    placed = spread(lines).join(files, "_file")
     return placed.select(*_LINE, (F.col("offset") + F.col("_index") + 2).alias("row_num"))
 
 
@@ -102,16 +100,17 @@ def _joined(lines: DataFrame, spark: SparkSession, sf_dir: str, orders: bool) ->
         F.col("p_partkey").alias("l_partkey"),
         F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price"),
     )
-    lines = lines.join(part, "l_partkey")
+    # a line of an unknown part or order stays, without what they would tell
+    lines = lines.join(part, "l_partkey", "left")
     if orders:
         heads = table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("l_orderkey"),
             F.col("o_custkey"),
             F.col("o_orderdate").cast("date").alias("order_date"),
         )
-        lines = lines.join(heads, "l_orderkey").withColumn(
-            "source_file",
-            F.concat(F.lit("sales_"), F.date_format("order_date", "yyyy_MM"), F.lit(".csv")),
+        month = F.coalesce(F.date_format("order_date", "yyyy_MM"), F.lit("unknown"))
+        lines = lines.join(heads, "l_orderkey", "left").withColumn(
+            "source_file", F.concat(F.lit("sales_"), month, F.lit(".csv"))
         )
     return lines
 
@@ -161,7 +160,7 @@ def raw_feed(spark: SparkSession, sf_dir: str, space: Workspace) -> DataFrame:
         value = clean[field]
         for k, text in PLANTED[field].items():
             value = F.when(remainder == k, F.lit(text)).otherwise(value)
-        return value.alias(field)
+        return F.coalesce(value, F.lit("")).alias(field)
 
     return lines.select(
         "source_file", "row_num", *[planted(f) for f in SALES_FIELDS], "l_returnflag"

@@ -236,12 +236,6 @@ def test_an_id_without_a_key_fails(spark):
         merge.resolve_keys(facts, customers, products).collect()
 
 
-def test_run_log_takes_the_later_outcome(spark):
-    log = spark.createDataFrame([("a", 1), ("b", 1)], "run_id string, rows_loaded bigint")
-    again = spark.createDataFrame([("b", 2)], "run_id string, rows_loaded bigint")
-    assert sorted(tuple(r) for r in merge.append_run(log, again).collect()) == [("a", 1), ("b", 2)]
-
-
 def test_constraints_count_their_violations(spark):
     good = dict(
         sales_key=1, order_id=1, order_date=None, customer_key=1, product_key=1, quantity=1,
