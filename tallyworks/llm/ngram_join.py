@@ -129,10 +129,12 @@ def candidates(rows: DataFrame, space: Workspace) -> DataFrame:
     keyed = rows.filter(F.col("_node").isNotNull())
     spread = keyed.select(F.col("_node").alias("node"), F.explode("_keys").alias("key"))
     met = spread.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least != most")
-    edges = spread.join(space.settle(met.select("key", "least"), "matches"), "key").filter("node != least")
+    met = space.settle(met.select("key", "least"), "matches")
+    # sort-merged at every size, as on a cluster: none of these sides has a bound
+    edges = spread.join(met.hint("merge"), "key").filter("node != least")
     groups = space.settle(links.components(edges.select(F.col("node").alias("a"), F.col("least").alias("b")), space)
                           .withColumnRenamed("root", "grp"), "groups")
-    held = keyed.join(groups, F.col("_node") == F.col("node")).groupBy("node").agg(
+    held = keyed.join(groups.hint("merge"), F.col("_node") == F.col("node")).groupBy("node").agg(
         F.first("grp").alias("grp"), F.first("_size").alias("size"), F.count("*").alias("copies"),
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"))).alias("of"))
     return space.settle(held.select("node", "grp", "size", "copies", F.col("of.doc_id").alias("doc_id")), "candidates")
@@ -146,7 +148,7 @@ def groups(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD, keys
     plan = links.block_plan(found.select("node", "size", "grp"), threshold, space)
     # a node's text is read from its document with the least id; an id that repeats may bring other texts, which have other nodes
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text")).join(
-        found.select("node", "copies", F.col("doc_id").alias("of")), F.col("id").eqNullSafe(F.col("of")))
+        found.select("node", "copies", F.col("doc_id").alias("of")).hint("merge"), F.col("id").eqNullSafe(F.col("of")))
     sets = _shingle_sets(texts.select("text", "node", "copies")).groupBy("node").agg(
         F.first("copies").alias("copies"), F.first("shingles").alias("shingles"))
     checked = space.settle(links.verified(sets.join(plan, "node"), threshold), "verified")
@@ -161,7 +163,7 @@ def groups(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD, keys
     known = space.settle(known, "known")
     least = known.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     known = space.settle(known.join(least, "root"), "classes")
-    return rows.join(known, F.col("_node") == F.col("node"), "left").select(
+    return rows.join(known.hint("merge"), F.col("_node") == F.col("node"), "left").select(
         *others, "_node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.coalesce(F.col("copies") - 1 + F.col("links"), F.lit(0)).alias("n_links"),
