@@ -22,8 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import whole_text
-from tallyworks.llm.merges import NONE, REMEMBERED, byte_ranks
+from tallyworks.llm.common import Remembered, whole_text
+from tallyworks.llm.merges import NONE, byte_ranks
+
+
+#: Bytes of a piece whose prefixes are shared with other pieces; a longer one has arrays of its own.
+LONG = 64
 
 
 class PrefixEncoding:
@@ -79,7 +83,8 @@ class Coder:
         # the libraries' white space is the Unicode property; Python's adds four control characters
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
                                      .replace(r"\S", r"\P{White_Space}"))
-        self.known = _Pieces(self)
+        self.lasts = Remembered(self._last)
+        self.known = Remembered(self._packed)
 
     def extend(self, data: bytes, last: list[int], upto: int | None = None) -> None:
         """Add the last tokens of further prefixes to ``last``."""
@@ -104,30 +109,48 @@ class Coder:
             else:
                 raise ValueError(f"byte {data[at - 1]} has no token")
 
+    def _last(self, data: bytes) -> int:
+        """The last token of a short prefix; the last tokens before it are kept by prefix and shared by all pieces."""
+        endings, judged, start, found = self.endings, self.merges.judged, len(data) - 1, []
+        while start >= 0:
+            token = endings.get(data[start:])
+            if token is None:
+                break
+            if token >= 0:
+                found.append((start, token))
+            start -= 1
+        while found:
+            start, token = found.pop()
+            if not start:
+                return token
+            pair = self.lasts[data[:start]], token
+            if judged[pair] if pair in judged else self.merges.beside(*pair):
+                return token
+        raise ValueError(f"byte {data[-1]} has no token")
+
+    def _packed(self, piece: str) -> bytes:
+        """A piece's ids, packed."""
+        data = piece.encode()
+        if len(data) > LONG:
+            return array("I", PrefixEncoding(self, data).ids()).tobytes()
+        ids = []
+        while data:
+            ids.append(self.lasts[data])
+            data = data[:-self.lengths[ids[-1]]]
+        ids.reverse()
+        return array("I", ids).tobytes()
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.known.__getitem__, self.pattern.findall(text)))
+        pieces = self.pattern.findall(text)
+        if len(pieces) * LONG < len(text):  # a long run isn't worth remembering
+            return b"".join(self.known[p] if len(p) <= LONG else self._packed(p) for p in pieces)
+        return b"".join(map(self.known.__getitem__, pieces))
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, memoryview(packed).cast("I")))
 
 
-class _Pieces(dict):
-    """Pieces met by this worker with their packed ids."""
-
-    def __init__(self, coder: Coder):
-        super().__init__()
-        self.coder = coder
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        packed = array("I", PrefixEncoding(self.coder, piece.encode()).ids()).tobytes()
-        if len(piece) <= 64:
-            self[piece] = packed
-        return packed
-
-
 @lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,27 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 16 << 20
 
 
+class Remembered(dict):
+    """Results of a pure function by argument, at most about twice ``REMEMBERED``: what is asked again moves to
+    the younger half, and the older half is dropped when the younger one is full."""
+
+    REMEMBERED = 1 << 17
+
+    def __init__(self, function: Callable):
+        super().__init__()
+        self.function, self.older = function, {}
+
+    def __missing__(self, key: object) -> object:
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
+        if len(self) >= self.REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

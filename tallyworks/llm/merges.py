@@ -14,8 +14,8 @@ from functools import lru_cache
 
 #: A token with no part to undo, and the rank after all others.
 NONE, NEVER = -1, 1 << 60
-#: Judged pairs, or pieces, that a worker remembers before it starts afresh.
-REMEMBERED = 1 << 20
+#: Judged pairs that a worker remembers before it starts afresh.
+REMEMBERED = 1 << 18
 
 
 class Merges:

@@ -52,7 +52,7 @@ def _of_text(totals: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def _statistics(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """(texts, STATISTICS), shares mostly, so that length says little."""
-    kind = np.full(256, len(_CLASSES), np.int64)
+    kind = np.full(256, len(_CLASSES), np.uint8)
     for k, members in enumerate(_CLASSES):
         kind[[ord(c) for c in members]] = k
     size = np.diff(ends, prepend=0).astype(float)

@@ -13,7 +13,7 @@ import pyarrow as pa
 
 WORDS = 5
 #: Bytes of texts whose arrays are held at once; a longer text is a block of its own.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 _random = np.random.Generator(np.random.PCG64(20240917))
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

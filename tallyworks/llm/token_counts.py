@@ -28,8 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import whole_text
-from tallyworks.llm.merges import NONE, REMEMBERED, byte_letters, word_merges
+from tallyworks.llm.common import Remembered, whole_text
+from tallyworks.llm.merges import NONE, byte_letters, word_merges
 
 #: The vocabulary's own split of a text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -37,6 +37,8 @@ SPACE = regex.compile(r"\p{White_Space}")
 LAST_SPACE = regex.compile(r"(?r)\p{White_Space}")
 #: Characters of a text that make one chunk.
 CHUNK = 1 << 16
+#: States that a worker keeps before it compiles afresh.
+STATES = 1 << 17
 LIMIT = 2048
 
 
@@ -92,7 +94,7 @@ class Transducer:
         return made, added
 
     def count(self, word: bytes) -> int:
-        if len(self.states) >= REMEMBERED:
+        if len(self.states) >= STATES:
             self.start_over()
         state = total = 0
         for symbol in word[:-1]:
@@ -111,26 +113,10 @@ class ChunkMap(NamedTuple):
     broken: bool
 
 
-class _Words(dict):
-    """Words met by this worker with their counts."""
-
-    def __init__(self, machine: Transducer):
-        super().__init__()
-        self.machine = machine
-
-    def __missing__(self, word: str) -> int:
-        n = self.machine.count(word.encode())
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = n
-        return n
-
-
 class Counter:
     def __init__(self, path: str):
         self.machine = Transducer(path)
-        self.words = _Words(self.machine)
+        self.words = Remembered(lambda word: self.machine.count(word.encode()))
         self.split = regex.compile(SPLIT)
         self.special = regex.compile("|".join(map(regex.escape, self.machine.special)))
         self.marks = tuple(self.machine.special)
