@@ -11,10 +11,12 @@ The texts that explain it are made for rejected rows only.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.functions import parsing as P
@@ -248,6 +250,18 @@ def first_accepted(rows: DataFrame) -> DataFrame:
     )
 
 
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Plans that run meanwhile make no method longer than the JVM compiles; the rules' would be."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def judge(
     raw: DataFrame,
     customers: DataFrame,
@@ -265,7 +279,9 @@ def judge(
     early = row_rules(today, max_quantity)
     rows = parsed(raw).withColumn("fired", bits_of(early)).drop("text", "price_reads", "rate_reads")
     # the verdict is in, so the values take the sizes a clean row needs
-    rows = space.settle(rows.withColumns({c: F.col(c).try_cast(t) for c, t in STORED.items()}), "rows")
+    rows = rows.withColumns({c: F.col(c).try_cast(t) for c, t in STORED.items()})
+    with compiled_methods(raw.sparkSession):
+        rows = space.settle(rows, "rows")
     bad_customers = space.settle(
         unknown_keys(rows, customers, "customer_id", "unknown_customer"), "unknown-customers"
     )

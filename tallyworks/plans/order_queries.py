@@ -410,9 +410,67 @@ def s_file_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
 
 
+# The column order of the turned header, and which lines are short or followed by a blank one.
+TURNED = ("product_id", "order_id", "unit_price", "customer_id", "order_date", "quantity", "discount_rate")
+SHORT_EVERY, BLANK_EVERY = 41, 50
+
+
+def s_file_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed written with a byte order mark, a turned header, CRLF ends, short and blank lines."""
+    space = Workspace(spark)
+    feed = space.settle(
+        O.raw_feed(spark, sf_dir, space).withColumn("_at", F.monotonically_increasing_id()), "feed"
+    )
+    line = _csv_line([F.col(c) for c in TURNED])
+    short = _csv_line([F.col(c) for c in TURNED[:-1]])
+    line = F.when(F.col("row_num") % SHORT_EVERY == 0, short).otherwise(line)
+    line = F.when(F.col("row_num") % BLANK_EVERY == 0, F.concat(line, F.lit("\r\n"))).otherwise(line)
+    header = F.lit("\ufeff" + ",".join(TURNED) + "\r\n")
+    first = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    folder = space.path("shapes")
+    # numbered again where it is written: each task's first line brings the header
+    feed.drop("_at").withColumn("_at", F.monotonically_increasing_id()).select(
+        F.when(first, F.concat(header, line)).otherwise(line).alias("value")
+    ).write.option("lineSep", "\r\n").text(folder)
+    rows, _ = read_sales(spark, folder, space)
+    return rows.select(*SALES_FIELDS)
+
+
 CUSTOMERS_PER_ARRAY = 100_000
 
 
+def s_reference_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of reference files that are sound, hold a second array or text behind their array, or
+    prices beyond the column."""
+    space = Workspace(spark)
+    part = F.expr(f"customer_key div {CUSTOMERS_PER_ARRAY}").alias("part")
+    array = F.to_json(F.collect_list(F.struct("customer_id", "customer_name", "region", "segment")))
+    arrays = space.settle(O.customers(spark, sf_dir).groupBy(part).agg(array.alias("value")), "arrays")
+    value = F.col("value")
+    shapes = {
+        "sound": value,
+        "second array": F.concat(value, F.lit("\n"), value),
+        "text behind": F.concat(value, F.lit(" x ]")),
+        "second field": F.concat(value, F.lit(',"more":'), value),
+    }
+    found = []
+    for shape, written in shapes.items():
+        folder = space.path("json")
+        arrays.select("part", written.alias("value")).write.partitionBy("part").text(folder)
+        _, faults = REF.build_customers(REF.read_reference(spark, folder), space)
+        found.append(faults.select(F.lit(shape).alias("shape"), "fault"))
+    folder = space.path("json")
+    wide = (F.col("list_price").cast("decimal(30,2)") * 10_000_000_000).cast("string")
+    O.products(spark, sf_dir).select("product_id", "product_name", "category", wide.alias("list_price")) \
+        .write.json(folder)
+    _, faults = REF.build_products(REF.read_reference(spark, folder, "lines"), space)
+    rows = faults.select(F.lit("wide price").alias("shape"), "fault")
+    for more in found:
+        rows = rows.unionByName(more)
+    return rows.groupBy("shape", "fault").agg(F.count(F.lit(1)).alias("n"))
+
+
+
 def s_json_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers written as files of one JSON array each, read and typed. A file holds a range
     of keys, so its size is bounded however many customers there are."""
@@ -632,7 +690,7 @@ QUERIES: dict[str, Query] = {
         v_judge_primary_code, v_defect_codes, v_split_counts, v_dedup_first_accepted,
         v_unknown_fk, v_secondary_code_counts, v_rows_with_code,
         p_key_normalized_audit, p_typed_parse, p_decimal_scale, p_measures,
-        s_period_from_filename, s_csv_scan, s_csv_row_numbers, s_file_gate, s_json_reference,
+        s_period_from_filename, s_csv_scan, s_csv_row_numbers, s_file_gate, s_file_shapes, s_reference_shapes, s_json_reference,
         s_json_lines_reference, s_product_reference,
         k_dim_upsert_customers, k_dim_upsert_products, k_surrogate_resolve,
         k_reload_idempotent, k_reload_stale_removed, k_reload_cross_file, k_load_report, k_fact_preview,

@@ -19,8 +19,6 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        # many tiny jobs: compiling each plan would take longer than running it
-        .config("spark.sql.codegen.wholeStage", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -140,6 +140,10 @@ def test_demo_reports(spark, demo):
         ("discount_rate", ["0.00", "0.9999", "1.00", "1", "1.50", "-0.01"],
          [None, None, "DISCOUNT_EQ_ONE", "DISCOUNT_EQ_ONE", "DISCOUNT_OUT_OF_RANGE",
           "DISCOUNT_OUT_OF_RANGE"]),
+        ("discount_rate", ["0.9999999999999", "1.0000000000001", "10e-1", "1." + "0" * 60, "-0.0000000000000000001",
+                           "99999999999999e-14", "0.000000000000000000", "1" + "0" * 40],
+         [None, "DISCOUNT_OUT_OF_RANGE", "DISCOUNT_EQ_ONE", "DISCOUNT_EQ_ONE", "DISCOUNT_OUT_OF_RANGE",
+          None, None, "DISCOUNT_OUT_OF_RANGE"]),
         ("quantity", ["1", "1000", "1001", "0", "-" + "9" * 30, "9" * 30],
          [None, None, "QTY_EXCEEDS_THRESHOLD", "QTY_NOT_POSITIVE", "QTY_NOT_POSITIVE",
           "QTY_EXCEEDS_THRESHOLD"]),

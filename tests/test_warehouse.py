@@ -167,6 +167,28 @@ def test_files_of_one_load_that_share_an_order(site):
     assert len({r.run_id for r in runs}) == 2
 
 
+def test_report_and_removal_of_replaced_loads(site):
+    site.load([line(1), line(2)], "sales_2026_01.csv")
+    site.load([line(2, quantity="8"), line(5), line(6, quantity="0")], "extra_2026_01.csv")
+    last = site.warehouse.load_report().agg(F.max("load_id")).first()[0]
+    report = {r.table_name: (r.removed, r.inserted, r.updated) for r in site.warehouse.load_report(last).collect()}
+    assert report == {"dim_customers": (0, 0, 20), "dim_products": (0, 0, 15), "stg_sales": (0, 2, 0),
+                      "fact_sales": (1, 2, 0), "etl_rejected_sales": (0, 1, 0)}
+    before = sorted(map(tuple, site.warehouse.read("fact_sales").collect()))
+    assert site.warehouse.remove_replaced() >= 3 and site.warehouse.remove_replaced() == 0
+    assert sorted(map(tuple, site.warehouse.read("fact_sales").collect())) == before
+
+
+def test_a_load_that_lost_a_race_is_not_published(site, monkeypatch):
+    site.load([line(1)])
+    seen = iter(["000000000001-a", "000000000001-a", "000000000002-b"])
+    monkeypatch.setattr(site.warehouse.__class__, "_greatest_load", lambda self: next(seen))
+    with pytest.raises(WH.ConcurrentLoad):
+        site.load([line(1), line(2)])
+    monkeypatch.undo()
+    assert site.totals()[0] == 1
+
+
 def test_a_failed_load_is_not_seen(site):
     site.load([line(1)])
     before = site.totals()
