@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of one Arrow batch; a batch of very long texts stays within a worker's memory.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 2 << 20
 
 
 class Remembered(dict):
