@@ -124,7 +124,15 @@ def _shingle_sets(rows: DataFrame) -> DataFrame:
     return sent.mapInArrow(work, sent.drop("_whole").schema.add("shingles", "binary"))
 
 
-def candidates(rows: DataFrame, space: Workspace) -> DataFrame:
+def nodes_of(rows: DataFrame) -> DataFrame:
+    """(node, size, copies, doc_id, copy_id): copies are counted where they are read, then by node."""
+    return rows.filter(F.col("_node").isNotNull()).groupBy(F.col("_node").alias("node")).agg(
+        F.first("_size").alias("size"), F.count("*").alias("copies"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"))).alias("of"),
+        F.min("doc_id").alias("copy_id")).select("node", "size", "copies", F.col("of.doc_id").alias("doc_id"), "copy_id")
+
+
+def candidates(rows: DataFrame, nodes: DataFrame, space: Workspace) -> DataFrame:
     """(node, size, copies, doc_id, grp) of the nodes that match another one somewhere in the forest."""
     keyed = rows.filter(F.col("_node").isNotNull())
     spread = keyed.select(F.col("_node").alias("node"), F.explode("_keys").alias("key"))
@@ -134,17 +142,16 @@ def candidates(rows: DataFrame, space: Workspace) -> DataFrame:
     edges = spread.join(met.hint("merge"), "key").filter("node != least")
     groups = space.settle(links.components(edges.select(F.col("node").alias("a"), F.col("least").alias("b")), space)
                           .withColumnRenamed("root", "grp"), "groups")
-    held = keyed.join(groups.hint("merge"), F.col("_node") == F.col("node")).groupBy("node").agg(
-        F.first("grp").alias("grp"), F.first("_size").alias("size"), F.count("*").alias("copies"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"))).alias("of"))
-    return space.settle(held.select("node", "grp", "size", "copies", F.col("of.doc_id").alias("doc_id")), "candidates")
+    held = nodes.join(groups.hint("merge"), "node")
+    return space.settle(held.select("node", "grp", "size", "copies", "doc_id"), "candidates")
 
 
 def groups(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD, keys_of: KeysOf = forest_keys) -> DataFrame:
     """The frame without text, with _node, class_id, copy_id, n_links and _group (the class's key)."""
     others = unpacked(docs.drop("text"), "_node", "class_id", "copy_id", "n_links", "_group")
     rows = space.settle(signed(docs, threshold, keys_of), "signed")
-    found = candidates(rows, space)
+    nodes = space.settle(nodes_of(rows), "nodes")
+    found = candidates(rows, nodes, space)
     plan = links.block_plan(found.select("node", "size", "grp"), threshold, space)
     # a node's text is read from its document with the least id; an id that repeats may bring other texts, which have other nodes
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text")).join(
@@ -154,9 +161,7 @@ def groups(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD, keys
     checked = space.settle(links.verified(sets.join(plan, "node"), threshold), "verified")
     linked = checked.groupBy("node").agg(F.sum("links").alias("links"))
     roots = links.components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")), space)
-    copied = rows.filter(F.col("_node").isNotNull()).groupBy(F.col("_node").alias("node")).agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("copy_id"))
-    known = (copied.join(linked, "node", "left").join(roots, "node", "left")
+    known = (nodes.join(linked, "node", "left").join(roots, "node", "left")
              .filter((F.col("copies") > 1) | F.col("links").isNotNull())
              .select("node", "copies", "copy_id", F.coalesce("links", F.lit(0)).alias("links"),
                      F.coalesce("root", "node").alias("root")))
