@@ -20,7 +20,6 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyworks.llm.common import Remembered, whole_text
 from tallyworks.llm.merges import NONE, byte_ranks
