@@ -38,9 +38,24 @@ THRESHOLD = 0.8
 #: Keys in the sample for each range.
 SAMPLED = 50
 
+#: Bytes of a fingerprint in one band.
+BAND_BYTES = PERMUTATIONS // BANDS * 2
+
 FOLLOWS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
+def _nodes(texts: pa.StringArray, functions: Permutations) -> tuple[np.ndarray, list[bytes | None], list[int]]:
+    """The texts' signatures, nodes and numbers of different shingles."""
+    signs, nodes, sizes = [np.zeros((0, PERMUTATIONS), np.uint16)], [], []
+    for shingles, number in blocks(texts):
+        signs.append((functions.minima(shingles, number) & 0xFFFF).astype(np.uint16))
+        for x in np.split(shingles, np.cumsum(number)[:-1]):
+            node, own = ngram_join.node_of(x) if len(x) else (None, x)
+            nodes.append(node)
+            sizes.append(len(own))
+    return np.concatenate(signs), nodes, sizes
+
+
 def signatures(texts: pa.StringArray, functions: Permutations) -> np.ndarray:
     """(texts, PERMUTATIONS) of the lower 16 of 32 bits of each minimum; all ones for a text without shingles."""
     found = [functions.minima(*block) for block in blocks(texts)]
@@ -95,41 +110,63 @@ def _with_next(docs: DataFrame, space: Workspace) -> DataFrame:
             .sortWithinPartitions("part", "lent", "unnamed", "descending", "key").select("doc_id", "lent", "text"))
 
 
-def follow(docs: DataFrame, space: Workspace) -> DataFrame:
-    """One row per document with its fingerprint, its edited text's, and their likeness (columns FOLLOWS)."""
-    schema = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-              "near_edited double, near_next double")
+def _followed(docs: DataFrame, space: Workspace) -> DataFrame:
+    """The columns FOLLOWS, with fingerprints as bytes, and ``_node`` and ``_size`` of the text's shingle set."""
+    schema = ("doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
+              "near_edited double, near_next double, _node binary, _size integer")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions = Permutations(PERMUTATIONS, 2)
-        held: tuple | None = None  # a document whose next one isn't known yet: (id, text, signature)
+        held: tuple | None = None  # a document whose next one isn't known yet: (id, text, signature, node, size)
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids, lent, texts = (batch.column(k).to_pylist() for k in range(3))
-            signs = signatures(batch.column(2), functions)
-            own, nexts, own_signs, next_signs = [], [], [], []
+            signs, nodes, sizes = _nodes(batch.column(2), functions)
+            own, nexts, next_signs = [], [], []
             for i, text in enumerate(texts):
                 if held is not None:
-                    own.append(held[:2])
+                    own.append(held)
                     nexts.append(text)
-                    own_signs.append(held[2])
                     next_signs.append(signs[i])
-                held = None if lent[i] else (ids[i], text, signs[i])
+                held = None if lent[i] else (ids[i], text, signs[i], nodes[i], sizes[i])
             if not own:
                 continue
-            changed = [edited(text, following) for (_, text), following in zip(own, nexts, strict=True)]
-            a, b = np.stack(own_signs), np.stack(next_signs)
+            changed = [edited(x[1], following) for x, following in zip(own, nexts, strict=True)]
+            a, b = np.stack([x[2] for x in own]), np.stack(next_signs)
             c = signatures(pa.array(changed, pa.large_string()), functions)
             yield pa.RecordBatch.from_arrays([
                 pa.array([x[0] for x in own], pa.int64()), pa.array([len(x[1]) for x in own], pa.int64()),
                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in changed]),
-                pa.array([x.tobytes().hex() for x in a]), pa.array([x.tobytes().hex() for x in c]),
-                pa.array(likeness(a, c)), pa.array(likeness(a, b))], names=FOLLOWS)
+                pa.array([x.tobytes() for x in a]), pa.array([x.tobytes() for x in c]),
+                pa.array(likeness(a, c)), pa.array(likeness(a, b)),
+                pa.array([x[3] for x in own], pa.binary()), pa.array([x[4] for x in own], pa.int32())],
+                names=[*FOLLOWS, "_node", "_size"])
 
     return _with_next(docs, space).mapInArrow(work, schema)
 
 
+def _shown(rows: DataFrame, *others: str) -> DataFrame:
+    prints = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return rows.withColumns(prints).select(*FOLLOWS, *others)
+
+
+def follow(docs: DataFrame, space: Workspace) -> DataFrame:
+    """One row per document with its fingerprint, its edited text's, and their likeness (columns FOLLOWS)."""
+    return _shown(_followed(docs, space))
+
+
+def compare(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD) -> DataFrame:
+    """``follow`` with the near duplicates of each document: class_id, copy_id and n_links as in ``near_duplicates``.
+
+    The rows are written once with their fingerprints; bands are cut from these, so that texts are signed once and
+    read again only for nodes that share a band. Bands of 16-bit minima match wherever those of ``band_keys`` do.
+    """
+    rows = space.settle(_followed(docs, space), "followed")
+    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("fingerprint", k * BAND_BYTES + 1, BAND_BYTES)) for k in range(BANDS)])
+    return _shown(ngram_join.linked(docs, rows.withColumn("_keys", keys), space, threshold), "class_id", "copy_id", "n_links")
+
+
 def near_duplicates(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, copy_id, n_links): nodes that share a band of their signatures are verified exactly."""
     return ngram_join.groups(docs.select("doc_id", "text"), space, threshold, band_keys).select(

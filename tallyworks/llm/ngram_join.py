@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,8 @@ TREES, LABELS = 24, 8
 KeysOf = Callable[[np.ndarray, np.ndarray, np.ndarray, float], list[np.ndarray]]
 #: Set sizes from which a link may have any similarity close to the threshold.
 LARGE = 64
+#: Parts of the bitmap that texts pass before they are shuffled, 4 KB each.
+BUCKETS = 512
 
 
 def least_similarity(size: int, threshold: float = THRESHOLD) -> float:
@@ -63,7 +65,7 @@ def depths(threshold: float = THRESHOLD) -> list[tuple[int, ...]]:
             for n in range(LARGE + 1)]
 
 
-def _node(shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
+def node_of(shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
     own = np.unique(shingles)
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest(), own
 
@@ -89,7 +91,7 @@ def signed(docs: DataFrame, threshold: float = THRESHOLD, keys_of: KeysOf = fore
         for batch in batches:
             nodes, sizes, keys = [], [], []
             for shingles, number in blocks(batch.column(batch.num_columns - 1)):
-                made = [_node(x) if len(x) else (None, x) for x in np.split(shingles, np.cumsum(number)[:-1])]
+                made = [node_of(x) if len(x) else (None, x) for x in np.split(shingles, np.cumsum(number)[:-1])]
                 size = np.array([len(own) for _, own in made])
                 found = keys_of(shingles, number, size, threshold)
                 nodes += [n for n, _ in made]
@@ -114,7 +116,7 @@ def _shingle_sets(rows: DataFrame) -> DataFrame:
             sets = []
             for shingles, number in blocks(batch.column(batch.num_columns - 1)):
                 for x in np.split(shingles, np.cumsum(number)[:-1]):
-                    node, own = _node(x) if len(x) else (None, x)
+                    node, own = node_of(x) if len(x) else (None, x)
                     sets.append(own.tobytes() if node == wanted[at] else None)
                     at += 1
             kept = pa.array([s is not None for s in sets], pa.bool_())
@@ -146,22 +148,43 @@ def candidates(rows: DataFrame, nodes: DataFrame, space: Workspace) -> DataFrame
     return space.settle(held.select("node", "grp", "size", "copies", "doc_id"), "candidates")
 
 
+def _passing(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of (id, text) whose id may be among ``wanted`` (of): all that are, and of the others few. A bitmap of fixed
+    size goes to every task, so that most texts that no candidate needs are not shuffled."""
+    def at(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(BUCKETS << 15)) + 1
+
+    bits = wanted.select(at("of").alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    placed = docs.withColumn("place", F.bitmap_bit_position(at("id"))).withColumn("bucket", F.bitmap_bucket_number(at("id")))
+    met = placed.join(F.broadcast(bits), "bucket")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.shiftright("place", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (F.col("place") % 8 + 1).cast("int"))
+    return met.filter(byte.bitwiseAND(bit) != 0).select(*docs.columns)
+
+
 def groups(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD, keys_of: KeysOf = forest_keys) -> DataFrame:
     """The frame without text, with _node, class_id, copy_id, n_links and _group (the class's key)."""
     others = unpacked(docs.drop("text"), "_node", "class_id", "copy_id", "n_links", "_group")
     rows = space.settle(signed(docs, threshold, keys_of), "signed")
+    return linked(docs, rows, space, threshold).select(*others, "_node", "class_id", "copy_id", "n_links", "_group")
+
+
+def linked(docs: DataFrame, rows: DataFrame, space: Workspace, threshold: float = THRESHOLD) -> DataFrame:
+    """``rows`` (doc_id, _node, _size, _keys and others) of ``docs`` with class_id, copy_id, n_links and _group."""
     nodes = space.settle(nodes_of(rows), "nodes")
     found = candidates(rows, nodes, space)
     plan = links.block_plan(found.select("node", "size", "grp"), threshold, space)
     # a node's text is read from its document with the least id; an id that repeats may bring other texts, which have other nodes
-    texts = docs.select(F.col("doc_id").alias("id"), F.col("text")).join(
-        found.select("node", "copies", F.col("doc_id").alias("of")).hint("merge"), F.col("id").eqNullSafe(F.col("of")))
+    wanted = found.select("node", "copies", F.col("doc_id").alias("of"))
+    texts = _passing(docs.select(F.col("doc_id").alias("id"), F.col("text")), wanted).join(
+        wanted.hint("merge"), F.col("id").eqNullSafe(F.col("of")))
     sets = _shingle_sets(texts.select("text", "node", "copies")).groupBy("node").agg(
         F.first("copies").alias("copies"), F.first("shingles").alias("shingles"))
     checked = space.settle(links.verified(sets.join(plan, "node"), threshold), "verified")
-    linked = checked.groupBy("node").agg(F.sum("links").alias("links"))
+    counted = checked.groupBy("node").agg(F.sum("links").alias("links"))
     roots = links.components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")), space)
-    known = (nodes.join(linked, "node", "left").join(roots, "node", "left")
+    known = (nodes.join(counted, "node", "left").join(roots, "node", "left")
              .filter((F.col("copies") > 1) | F.col("links").isNotNull())
              .select("node", "copies", "copy_id", F.coalesce("links", F.lit(0)).alias("links"),
                      F.coalesce("root", "node").alias("root")))
@@ -169,7 +192,8 @@ def groups(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD, keys
     least = known.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     known = space.settle(known.join(least, "root"), "classes")
     return rows.join(known.hint("merge"), F.col("_node") == F.col("node"), "left").select(
-        *others, "_node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        *[rows[c] for c in rows.columns],
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.coalesce(F.col("copies") - 1 + F.col("links"), F.lit(0)).alias("n_links"),
         F.coalesce("root", "_node").alias("_group"))

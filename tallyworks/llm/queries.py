@@ -46,7 +46,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return fingerprints.follow(table(spark, sf_dir, "documents"), Workspace(spark))
+    return fingerprints.compare(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

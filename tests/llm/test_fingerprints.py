@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from tallyworks.llm import fingerprints
+from tallyworks.llm.queries import QUERIES
 from tallyworks.llm.shingles import blocks
 from tests.llm.test_ngram_join import brute_links, shingles
 
@@ -75,3 +76,27 @@ def test_bands_find_verified_near_duplicates(frame, room):
         rows.append((3 * n + 2, " ".join(words[:60])))
     result = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in fingerprints.near_duplicates(frame(rows), room).collect()}
     assert result == brute_links(rows)
+
+
+def test_query_holds_both_halves(spark, frame, tmp_path):
+    draw = random.Random(8)
+    rows = []
+    for n in range(40):
+        words = [f"{draw.randint(0, 10**6)}" for _ in range(120)]
+        rows += [(4 * n, " ".join(words)), (4 * n + 1, " ".join([*words[:-1], "end"])), (4 * n + 2, " ".join(words[:60])),
+                 (4 * n + 3, "  ".join(words))]
+    rows += [(1000, None), (1001, ""), (1002, "one word"), (1003, "One Word")]
+    frame(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    result = QUERIES["op5_fingerprints"](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in result} == brute_links(rows)
+    copies = {d: min(e for e, other in rows if d == e or shingles(other) and shingles(other) == shingles(text)) for d, text in rows}
+    assert {r["doc_id"]: r["copy_id"] for r in result} == copies
+    assert Counter((*r[:5], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in result) == brute(rows)
+
+
+def test_repeated_and_null_ids_keep_their_rows(frame, room):
+    text = " ".join(str(n) for n in range(50))
+    rows = [(None, text), (None, text), (5, text), (5, text + " more"), (6, None), (6, None), (None, None)]
+    result = Counter((r["doc_id"], r["class_id"], r["copy_id"], r["n_links"])
+                     for r in fingerprints.compare(frame(rows), room).collect())
+    assert result == {(None, 5, 5, 3): 2, (5, 5, 5, 3): 2, (6, 6, 6, 0): 2, (None, None, None, 0): 1}
