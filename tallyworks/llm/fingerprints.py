@@ -107,21 +107,21 @@ def _with_next(docs: DataFrame, space: Workspace) -> DataFrame:
         .withColumnRenamed("to", "part").withColumn("lent", F.lit(True)))
     all_rows = rows.withColumn("lent", F.lit(False)).unionByName(lent)
     return (all_rows.repartitionById(ranges, F.col("part"))
-            .sortWithinPartitions("part", "lent", "unnamed", "descending", "key").select("doc_id", "lent", "text"))
+            .sortWithinPartitions("part", "lent", "unnamed", "descending", "key").select("doc_id", "lent", "text", F.unhex("key").alias("key")))
 
 
 def _followed(docs: DataFrame, space: Workspace) -> DataFrame:
-    """The columns FOLLOWS, with fingerprints as bytes, and ``_node`` and ``_size`` of the text's shingle set."""
+    """The columns FOLLOWS, with fingerprints as bytes, ``_node`` and ``_size`` of the text's shingle set, and the content's ``_key``."""
     schema = ("doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
-              "near_edited double, near_next double, _node binary, _size integer")
+              "near_edited double, near_next double, _node binary, _size integer, _key binary")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions = Permutations(PERMUTATIONS, 2)
-        held: tuple | None = None  # a document whose next one isn't known yet: (id, text, signature, node, size)
+        held: tuple | None = None  # a document whose next one isn't known yet: (id, text, signature, node, size, key)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, lent, texts = (batch.column(k).to_pylist() for k in range(3))
+            ids, lent, texts, keys = (batch.column(k).to_pylist() for k in range(4))
             signs, nodes, sizes = _nodes(batch.column(2), functions)
             own, nexts, next_signs = [], [], []
             for i, text in enumerate(texts):
@@ -129,7 +129,7 @@ def _followed(docs: DataFrame, space: Workspace) -> DataFrame:
                     own.append(held)
                     nexts.append(text)
                     next_signs.append(signs[i])
-                held = None if lent[i] else (ids[i], text, signs[i], nodes[i], sizes[i])
+                held = None if lent[i] else (ids[i], text, signs[i], nodes[i], sizes[i], keys[i])
             if not own:
                 continue
             changed = [edited(x[1], following) for x, following in zip(own, nexts, strict=True)]
@@ -140,8 +140,8 @@ def _followed(docs: DataFrame, space: Workspace) -> DataFrame:
                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in changed]),
                 pa.array([x.tobytes() for x in a]), pa.array([x.tobytes() for x in c]),
                 pa.array(likeness(a, c)), pa.array(likeness(a, b)),
-                pa.array([x[3] for x in own], pa.binary()), pa.array([x[4] for x in own], pa.int32())],
-                names=[*FOLLOWS, "_node", "_size"])
+                pa.array([x[3] for x in own], pa.binary()), pa.array([x[4] for x in own], pa.int32()),
+                pa.array([x[5] for x in own], pa.binary())], names=[*FOLLOWS, "_node", "_size", "_key"])
 
     return _with_next(docs, space).mapInArrow(work, schema)
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.llm import links
-from tallyworks.llm.common import packed, unpacked, whole_text
+from tallyworks.llm.common import content_key, packed, unpacked, whole_text
 from tallyworks.llm.shingles import Permutations, blocks, mixed
 from tallyworks.workspace import Workspace
 
@@ -83,9 +83,11 @@ def forest_keys(shingles: np.ndarray, number: np.ndarray, sizes: np.ndarray, thr
 
 
 def signed(docs: DataFrame, threshold: float = THRESHOLD, keys_of: KeysOf = forest_keys) -> DataFrame:
-    """doc_id, all columns but the text as ``_row``, ``_node``, ``_size`` and ``_keys``; no node without words."""
-    others = ["doc_id", "_row"]
-    sent = docs.select("doc_id", packed(docs.drop("text")), whole_text(docs).alias("_whole"))
+    """doc_id, all columns but the text as ``_row``, ``_key`` of the content, ``_node``, ``_size`` and ``_keys``; no
+    node without words."""
+    others = ["doc_id", "_row", "_key"]
+    sent = docs.select("doc_id", packed(docs.drop("text")), F.unhex(content_key(docs)).alias("_key"),
+                       whole_text(docs).alias("_whole"))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,15 +129,16 @@ def _shingle_sets(rows: DataFrame) -> DataFrame:
 
 
 def nodes_of(rows: DataFrame) -> DataFrame:
-    """(node, size, copies, doc_id, copy_id): copies are counted where they are read, then by node."""
+    """(node, size, copies, doc_id, key, copy_id): copies are counted where they are read, then by node. ``key`` is that
+    of one row with doc_id."""
     return rows.filter(F.col("_node").isNotNull()).groupBy(F.col("_node").alias("node")).agg(
         F.first("_size").alias("size"), F.count("*").alias("copies"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"))).alias("of"),
-        F.min("doc_id").alias("copy_id")).select("node", "size", "copies", F.col("of.doc_id").alias("doc_id"), "copy_id")
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("_key").alias("key"))).alias("of"),
+        F.min("doc_id").alias("copy_id")).select("node", "size", "copies", "of.doc_id", "of.key", "copy_id")
 
 
 def candidates(rows: DataFrame, nodes: DataFrame, space: Workspace) -> DataFrame:
-    """(node, size, copies, doc_id, grp) of the nodes that match another one somewhere in the forest."""
+    """(node, size, copies, doc_id, key, grp) of the nodes that match another one somewhere in the forest."""
     keyed = rows.filter(F.col("_node").isNotNull())
     spread = keyed.select(F.col("_node").alias("node"), F.explode("_keys").alias("key"))
     met = spread.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least != most")
@@ -145,18 +148,18 @@ def candidates(rows: DataFrame, nodes: DataFrame, space: Workspace) -> DataFrame
     groups = space.settle(links.components(edges.select(F.col("node").alias("a"), F.col("least").alias("b")), space)
                           .withColumnRenamed("root", "grp"), "groups")
     held = nodes.join(groups.hint("merge"), "node")
-    return space.settle(held.select("node", "grp", "size", "copies", "doc_id"), "candidates")
+    return space.settle(held.select("node", "grp", "size", "copies", "doc_id", "key"), "candidates")
 
 
 def _passing(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of (id, text) whose id may be among ``wanted`` (of): all that are, and of the others few. A bitmap of fixed
+    """Rows of (key, ...) whose key may be among ``wanted``: all that are, and of the others few. A bitmap of fixed
     size goes to every task, so that most texts that no candidate needs are not shuffled."""
     def at(c: str) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(BUCKETS << 15)) + 1
 
-    bits = wanted.select(at("of").alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
+    bits = wanted.select(at("key").alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
-    placed = docs.withColumn("place", F.bitmap_bit_position(at("id"))).withColumn("bucket", F.bitmap_bucket_number(at("id")))
+    placed = docs.withColumn("place", F.bitmap_bit_position(at("key"))).withColumn("bucket", F.bitmap_bucket_number(at("key")))
     met = placed.join(F.broadcast(bits), "bucket")
     byte = F.conv(F.hex(F.substring(F.col("bits"), (F.shiftright("place", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     bit = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (F.col("place") % 8 + 1).cast("int"))
@@ -171,14 +174,15 @@ def groups(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD, keys
 
 
 def linked(docs: DataFrame, rows: DataFrame, space: Workspace, threshold: float = THRESHOLD) -> DataFrame:
-    """``rows`` (doc_id, _node, _size, _keys and others) of ``docs`` with class_id, copy_id, n_links and _group."""
+    """``rows`` (doc_id, _key, _node, _size, _keys and others) of ``docs`` with class_id, copy_id, n_links and _group."""
     nodes = space.settle(nodes_of(rows), "nodes")
     found = candidates(rows, nodes, space)
     plan = links.block_plan(found.select("node", "size", "grp"), threshold, space)
-    # a node's text is read from its document with the least id; an id that repeats may bring other texts, which have other nodes
-    wanted = found.select("node", "copies", F.col("doc_id").alias("of"))
-    texts = _passing(docs.select(F.col("doc_id").alias("id"), F.col("text")), wanted).join(
-        wanted.hint("merge"), F.col("id").eqNullSafe(F.col("of")))
+    # a node's text is that of its row with the least id and key; only rows that repeat both bring it again
+    wanted = found.select("node", "copies", F.col("doc_id").alias("of"), "key")
+    named = docs.select(F.col("doc_id").alias("id"), F.unhex(content_key(docs)).alias("key"), F.col("text"))
+    texts = _passing(named, wanted).alias("t").join(
+        wanted.alias("w").hint("merge"), (F.col("t.key") == F.col("w.key")) & F.col("id").eqNullSafe(F.col("of")))
     sets = _shingle_sets(texts.select("text", "node", "copies")).groupBy("node").agg(
         F.first("copies").alias("copies"), F.first("shingles").alias("shingles"))
     checked = space.settle(links.verified(sets.join(plan, "node"), threshold), "verified")

@@ -123,3 +123,13 @@ def test_intersections(monkeypatch, columns):
         for j, b in enumerate(sets):
             if i != j:
                 assert found[i, j] == len(set(a) & set(b))
+
+
+def test_a_repeated_id_does_not_meet_all_its_texts(frame, room, monkeypatch):
+    fetched, sets = [], ngram_join._shingle_sets
+    monkeypatch.setattr(ngram_join, "_shingle_sets", lambda rows: fetched.append(rows.count()) or sets(rows))
+    base = [f"w{n}" for n in range(100)]
+    rows = [(doc, " ".join([*base, f"end{n}"])) for doc in (None, 7) for n in range(20 * (doc or 0), 20 * (doc or 0) + 40)]
+    found = ngram_join.join(frame(rows), room).collect()
+    assert {(r["class_id"], r["n_links"]) for r in found} == {(7, len(rows) - 1)} and len(found) == len(rows)
+    assert fetched == [len(rows)]
