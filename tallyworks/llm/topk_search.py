@@ -1,11 +1,10 @@
-"""Exact top-k search by integer inner product with MaxScore.
+"""Exact top-k search by integer inner product, pruned by term bounds.
 
 A vector's components are terms: a query's terms are its components, a term's posting list holds the candidates'
 components of that place. Within a shard each term's postings have a least and a greatest value, so a
-query term's contribution is bounded. Terms are split by these bounds: the non-essential ones are those
-whose bounds, summed from the smallest spread up, can't lift a candidate over the k-th best score so far. Essential
-postings are traversed for the whole shard; the other terms are probed, largest spread first, only for
-candidates whose bound still competes. Shards are merged by rank. Ties at the bound stay competitive.
+query term's contribution is bounded. Unlike MaxScore, no set of essential terms is determined: all terms are
+added, largest spread first and PROBED at a time, and candidates whose score and remaining bound can't reach the
+k-th best score so far are dropped in between. Shards are merged by rank. Ties at the bound stay competitive.
 
 Queries meet candidates in blocks: each shard row holds up to SHARD vectors and each query block is sent to
 every shard. What leaves a task is k rows for each query and shard.
