@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -9,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tallyworks.workspace import Workspace  # noqa: E402
 
-TODAY = dt.date(2026, 8, 17)
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import TODAY
+from days import TODAY
 from pyspark.sql import functions as F
 
 from tallyworks.operators import judge as J
