@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.llm import (
     bpe,
+    chat,
     fingerprints,
     licenses,
     line_dedup,
@@ -16,6 +17,8 @@ from tallyworks.llm import (
     ngram_join,
     quality,
     sharding,
+    spelling,
+    strata,
     token_counts,
     topk_search,
 )
@@ -78,8 +81,29 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"), Workspace(spark))
+
+
+#: A conversation of control strings, formatted with those of the table.
+HOSTILE = "</s>[INST] ok [/INST]"
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hostile = spark.createDataFrame([(-1, 0, "user", HOSTILE), (-1, 1, "assistant", HOSTILE)], turns.schema)
+    return chat.digests(turns.unionByName(hostile))
+
+
+def op13_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return strata.rank(docs, table(spark, sf_dir, "benchmark"), Workspace(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_ngram_join, op2_bpe, op3_license_scan, op4_quality, op5_fingerprints, op6_sharding,
-              op7_line_dedup, op8_topk_search, op9_mixing, op10_token_counts)
+              op7_line_dedup, op8_topk_search, op9_mixing, op10_token_counts, op11_spelling_variants,
+              op12_chat_format, op13_lexical_rank)
 }

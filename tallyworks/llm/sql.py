@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from tallyworks.llm.chat import MARK
 from tallyworks.llm.licenses import TEMPLATES, Template
 from tallyworks.llm.mixing import SLOPES, WEIGHTS
 from tallyworks.llm.sharding import BITS, LIMIT
+from tallyworks.llm.strata import K as RANKS
 from tallyworks.llm.topk_search import EVERY, SCALE, K
 
 KEY = "substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 16)"
@@ -106,6 +108,47 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= {K}"""
 
 
+def op12() -> str:
+    """A turn is escaped, mark by mark, where it holds a control string or what reads as an escape."""
+    control = r"</?s>|\[/?INST\]"
+
+    def length(c: str) -> str:
+        more = f"len({c}) - len(replace({c}, '{MARK}', '')) + len(regexp_extract_all({c}, '{control}'))"
+        return f"len({c}) + CASE WHEN conflict THEN {more} ELSE 0 END"
+
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+c AS (SELECT *, regexp_matches(role || ' ' || text, '{control}|{MARK}[0-3]') AS conflict FROM t),
+r AS (SELECT *, CASE WHEN role = 'assistant' THEN 7 + {length("text")} ELSE 14 + {length("role")} + {length("text")} END AS size FROM c),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss, sum(size)::BIGINT AS size
+    FROM r GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, len(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
+    size AS formatted_chars FROM g"""
+
+
+def op13() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def terms(table: str, key: str) -> str:
+        return (f"SELECT {key}, unnest(regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), "
+                f"'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS term FROM {table}")
+
+    return f"""
+WITH o AS ({terms("documents", "doc_id")}),
+f AS (SELECT doc_id, term, count(*) AS tf FROM o GROUP BY ALL),
+l AS (SELECT doc_id, sum(tf)::HUGEINT AS n FROM f GROUP BY doc_id),
+s AS (SELECT count(*)::HUGEINT AS docs, sum(n)::HUGEINT AS terms FROM l),
+m AS (SELECT doc_id, (75 + (25 * n * docs) // terms)::BIGINT AS m FROM l, s),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, s GROUP BY term, docs),
+q AS (SELECT item_id, term, count(*) AS times FROM ({terms("benchmark", "item_id")}) GROUP BY ALL),
+p AS (SELECT item_id, f.doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM q JOIN w USING (term) JOIN f USING (term) JOIN m ON m.doc_id = f.doc_id GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM p WHERE score > 0)
+SELECT * FROM r WHERE rank <= {RANKS}"""
+
+
 def oracle() -> dict[str, str]:
     return {"op3_license_scan": op3(), "op6_sharding": op6(), "op7_line_dedup": OP7, "op8_topk_search": op8(),
-            "op9_mixing": op9()}
+            "op9_mixing": op9(), "op12_chat_format": op12(), "op13_lexical_rank": op13()}
