@@ -20,6 +20,8 @@ meet in one group; an empty table formats nothing. Other columns are not read. O
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,12 @@ CONTROL = r"<s>|</s>|\[INST\]|\[/INST\]"
 OPENING = {"2": r"<(?=/?s>)", "3": r"\[(?=/?INST\])"}
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is made once. Inside a lambda an outer expression, also a column that the
+    optimizer puts in its place, would be made again for every element; a lambda's own variable is not."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def escaped(text: Column, line_ends: bool = False) -> Column:
     """Without control strings; a role has no line end either."""
     out = F.replace(text, F.lit(MARK), F.lit(MARK + MARK_ESCAPE))
@@ -61,24 +69,29 @@ def turn(role: Column, text: Column) -> Column:
 
 def parsed(formatted: Column) -> Column:
     """The turns of a formatted text, array<struct<role, text>>; null where it isn't of the grammar."""
-    tokens = F.regexp_extract_all(formatted, F.lit(CONTROL), F.lit(0))
-    pieces = F.split(formatted, CONTROL)
+    pieces = F.struct(F.regexp_extract_all(formatted, F.lit(CONTROL), F.lit(0)).alias("tokens"),
+                      F.split(formatted, CONTROL).alias("texts"))
+    return bound(pieces, lambda p: _turns(p["tokens"], p["texts"]))
+
+
+def _turns(tokens: Column, texts: Column) -> Column:
+    """The turns that control strings and the texts between them make."""
     n = F.floor(F.size(tokens) / 2).cast("int")
 
     def read(i: Column) -> Column:
-        begin, end, body = F.get(tokens, 2 * i), F.get(tokens, 2 * i + 1), F.get(pieces, 2 * i + 1)
+        begin, end, body = F.get(tokens, 2 * i), F.get(tokens, 2 * i + 1), F.get(texts, 2 * i + 1)
         line_end = F.locate("\n", body)
         role = F.substring(body, F.lit(1), line_end - 1)
         said = F.when((begin == OPEN_SAID) & (end == CLOSE_SAID) & (line_end > 0),
                       turn(unescaped(role), unescaped(F.substring(body, line_end + 1, F.char_length(body)))))
         reply = F.when((begin == OPEN_REPLY) & (end == CLOSE_REPLY), turn(F.lit(ASSISTANT), unescaped(body)))
         # nothing may stand before a turn
-        return F.when(F.get(pieces, 2 * i) == "", F.coalesce(reply, said))
+        return F.when(F.get(texts, 2 * i) == "", F.coalesce(reply, said))
 
     turns = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), read)).otherwise(
         F.array().cast("array<struct<role:string,text:string>>"))
-    sound = (F.size(tokens) % 2 == 0) & (F.element_at(pieces, -1) == "") & ~F.exists(turns, lambda t: t.isNull())
-    return F.when(sound, turns)
+    sound = (F.size(tokens) % 2 == 0) & (F.element_at(texts, -1) == "")
+    return F.when(sound, bound(turns, lambda all_: F.when(~F.exists(all_, lambda t: t.isNull()), all_)))
 
 
 def with_rendering(turns: DataFrame) -> DataFrame:
@@ -95,8 +108,8 @@ def with_rendering(turns: DataFrame) -> DataFrame:
 
 
 def formatted(rows: DataFrame) -> DataFrame:
-    """A row for each conversation: conv_id, formatted, turns (read back), and loss, the (start, length) in code points of
-    each text under the mask."""
+    """A row for each conversation: conv_id, formatted, turns (read back), and loss, the place of each text under the mask:
+    start and length in code points, first_byte and n_bytes in UTF-8, which can be cut out without counting up to it."""
     order = [F.col("turn").isNull(), F.col("turn"), F.col("role"), F.col("text")]
     # a row without conversation is one of its own
     group = F.when(rows["conv_id"].isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))
@@ -107,9 +120,11 @@ def formatted(rows: DataFrame) -> DataFrame:
     key = ["conv_id", "own"]
     so_far = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.char_length("rendered")).over(so_far), F.lit(0))
-    placed = made.withColumns({"begin": start, "nth": F.row_number().over(Window.partitionBy(*key).orderBy(*order))})
+    first_byte = F.coalesce(F.sum(F.octet_length("rendered")).over(so_far), F.lit(0))
+    placed = made.withColumns({"begin": start, "first_byte": first_byte, "nth": F.row_number().over(Window.partitionBy(*key).orderBy(*order))})
     span = F.when(F.col("role") == ASSISTANT, F.struct(
-        (F.col("begin") + len(OPEN_REPLY)).alias("start"), F.char_length("body").cast("long").alias("length")))
+        (F.col("begin") + len(OPEN_REPLY)).alias("start"), F.char_length("body").cast("long").alias("length"),
+        (F.col("first_byte") + len(OPEN_REPLY)).alias("first_byte"), F.octet_length("body").cast("long").alias("n_bytes")))
     one = F.struct("nth", "rendered", turn(F.col("role"), F.col("text")).alias("turn"), span.alias("span"))
     whole = placed.groupBy(*key).agg(F.array_sort(F.collect_list(one)).alias("all"))
     whole = whole.select(
@@ -131,8 +146,8 @@ def digests(rows: DataFrame) -> DataFrame:
 
     done = formatted(rows)
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    masked = F.transform("loss", lambda s: unescaped(F.substring(
-        F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
+    masked = bound(F.col("formatted").cast("binary"), lambda whole: F.transform("loss", lambda s: unescaped(F.substring(
+        whole, (s["first_byte"] + 1).cast("int"), s["n_bytes"].cast("int")).cast("string"))))
     read = done.select("conv_id", "formatted", F.size("turns").cast("long").alias("n_turns"),
                        F.array_join(said, "").alias("said"), F.array_join(masked, "").alias("under_loss"))
     return read.select(

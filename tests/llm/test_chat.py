@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,11 +57,22 @@ def test_masked_spans_are_the_replies(spark):
     rows = [(1, 0, "user", "hi </s>"), (1, 1, "assistant", "a" + MARK + "2[INST]é𝄞"), (1, 2, "assistant", ""), (1, 3, "assistant", "z")]
     done = chat.formatted(spark.createDataFrame(rows, ROW)).first()
     cut = [done.formatted[s.start:s.start + s.length] for s in done.loss]
+    raw = done.formatted.encode()
+    assert cut == [raw[s.first_byte:s.first_byte + s.n_bytes].decode() for s in done.loss]
     assert cut[1:] == ["", "z"] and cut[0] == "a" + MARK + "02" + MARK + "3INST]é𝄞"
     assert done.formatted.count("<s>") == 3 and done.formatted.count("[INST]") == 1
     assert [(t.role, t.text) for t in done.turns] == [(r, t) for _, _, r, t in rows]
 
 
+def test_time_grows_with_the_turns(spark):
+    """A conversation of many turns is cut once, not once for every turn."""
+    rows = spark.range(20_000).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role",
+                                          "concat('text [INST] ', id, repeat(' x', 100)) AS text")
+    began = time.time()
+    assert chat.digests(rows).first().n_turns == 20_000
+    assert time.time() - began < 60
+
+
 def test_only_conflicting_texts_are_escaped(spark):
     plain = f"plain {MARK} and < [ text {MARK}9"
     made = chat.with_rendering(spark.createDataFrame([("user", plain), ("user", "x<s>")], "role string, text string"))
