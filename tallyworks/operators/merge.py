@@ -69,10 +69,11 @@ def resolve_keys(facts: DataFrame, customers: DataFrame, products: DataFrame) ->
 def last_file_wins(facts: DataFrame, files: DataFrame, space: Workspace) -> DataFrame:
     """Keep one fact per order id when several files of a load hold it: that of the last name.
 
-    ``files`` has one row per file. Collisions are found on two narrow columns and joined back.
+    ``files`` has one row per file, with its place ``file_no`` by name. Collisions are found on two narrow columns
+    and joined back.
     """
-    ranked = dense_numbers(files.select("source_file"), space, "_file_no", order="source_file")
-    placed = facts.join(space.settle(ranked, "file-order"), "source_file")
+    ranked = files.select("source_file", F.col("file_no").alias("_file_no"))
+    placed = facts.join(ranked, "source_file")
     clashes = (
         placed.groupBy("order_id")
         .agg(F.max("_file_no").alias("_winner"), F.min("_file_no").alias("_low"))

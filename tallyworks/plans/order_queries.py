@@ -17,7 +17,7 @@ from tallyworks.plans import reconcile as R
 from tallyworks.schemas import PREVIEW_COLUMNS, SALES_FIELDS, TABLES, ddl
 from tallyworks.sources import order_tables as O
 from tallyworks.sources import reference_json as REF
-from tallyworks.plans.warehouse import Warehouse
+from tallyworks.plans.warehouse import Warehouse, new_load_id
 from tallyworks.sources.sales_text import read_sales
 from tallyworks.workspace import Workspace
 
@@ -72,7 +72,7 @@ def judged_load(
 def loaded(load: Load, warehouse: Warehouse, spark: SparkSession, sf_dir: str) -> str:
     """Put a judged load into a warehouse; returns the load's id."""
     judged = load.judged
-    load_id = warehouse.next_load_id()
+    load_id = new_load_id()
     files = judged.groupBy("source_file").agg(F.max("row_num").alias("last_row"))
     warehouse.load(
         judged, load.space.settle(J.rejected(judged, O.TODAY), "rejects"), files,
@@ -99,8 +99,8 @@ def _planted(column: str, fault: tuple[int, int]) -> Column:
     return F.col(column) % fault[0] == fault[1]
 
 
-def tampered(warehouse: Warehouse, space: Workspace) -> dict[str, DataFrame]:
-    """The tables of a warehouse as a faulty load would leave them, written and read back."""
+def tampered(warehouse: Warehouse) -> dict[str, DataFrame]:
+    """The tables of a warehouse as a faulty load would leave them, still in their buckets."""
     tables = {name: warehouse.read(name) for name in TABLES}
     staged = tables["stg_sales"]
     twice = staged.where(_planted("order_id", TWICE)).select(
@@ -117,12 +117,11 @@ def tampered(warehouse: Warehouse, space: Workspace) -> dict[str, DataFrame]:
         "dim_customers": tables["dim_customers"].where(~_planted("customer_key", NO_CUSTOMER)),
         "dim_products": tables["dim_products"].where(~_planted("product_key", NO_PRODUCT)),
     }
-    return tables | {name: space.settle(df, name) for name, df in changed.items()}
+    return tables | changed
 
 
 def faulty_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    load, warehouse = stored_load(spark, sf_dir)
-    return tampered(warehouse, load.space)
+    return tampered(stored_load(spark, sf_dir)[1])
 
 
 # --- Q1 to Q5b --------------------------------------------------------------------------
@@ -204,7 +203,7 @@ def r4_both_neither_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r4_missing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines that are neither staged nor rejected, by file and number."""
     load, warehouse = stored_load(spark, sf_dir)
-    t = tampered(warehouse, load.space)
+    t = tampered(warehouse)
     return R.missing_lines(load.judged, t["stg_sales"], t["etl_rejected_sales"])
 
 

@@ -1,14 +1,21 @@
-"""The star schema as Parquet tables, loaded by whole files and published last.
+"""The star schema as catalog tables over Parquet, loaded by whole files.
 
-Tables are partitioned by ``source_file`` and ``load_id``. A load only adds partitions; nothing
-is changed in place. One append to the ledger then makes its partitions the current ones of
-their files and logs the runs, so a load that fails leaves nothing to see.
+Staging, facts and rejects are partitioned by ``source_file`` and written by dynamic partition overwrite: a
+load replaces the partitions of its files and of the files that lose order ids to it, and no others. Facts
+and staging are bucketed by ``order_id``, so they meet each other, and the order ids of a load, where they lie.
+
+All checks run before the first write, so a load that breaks a rule changes nothing. The run log is written
+last. A load that dies while it writes is repaired by running it again under the same id: every write
+replaces what the first attempt left, keys included.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -16,41 +23,45 @@ from pyspark.sql import functions as F
 
 from tallyworks.operators import merge as M
 from tallyworks.operators.audit import constraint_audit
-from tallyworks.operators.judge import accepted
+from tallyworks.operators.judge import IS_CLEAN, accepted
 from tallyworks.schemas import TABLES, ddl
 from tallyworks.workspace import Workspace
 
 BY_FILE = ("stg_sales", "fact_sales", "etl_rejected_sales")
+BUCKETED = ("stg_sales", "fact_sales")
 DIMENSIONS = {
     "dim_customers": ("customer_id", "customer_key"),
     "dim_products": ("product_id", "product_key"),
 }
-ALL_FILES = "*"
+LOG, REPORT = "etl_run_log", "load_report"
+
+#: Buckets of a new warehouse. A load writes at least one output file for each of its files and buckets, so
+#: choose for outputs of some 128 MB: rows of a usual file / BUCKETS.
+BUCKETS = 8
+#: Partitions of a dimension; only those with an incoming id are rewritten.
+SLICES = 4
 ROWS_PER_FILE = 4_000_000
 
-# The ledger: which load is current for a table and file, the last key given out, for facts the
-# least and greatest order id, and, on rows of kind etl_run_log, the run itself.
-LEDGER = {
-    "load_id": "string", "kind": "string", "last_key": "bigint", "low": "bigint", "high": "bigint",
-} | TABLES["etl_run_log"]
+#: Columns that a stored table has besides those of ``TABLES``; its partition column comes last.
+STORED_MORE = {
+    "dim_customers": {"slice": "int"},
+    "dim_products": {"slice": "int"},
+    # the last keys a load gave out, from which the next one goes on
+    LOG: {"last_sales_key": "bigint", "last_rejected_id": "bigint", "load_id": "string"},
+}
 # What each load did to each table.
-REPORT = {
-    "load_id": "string", "table_name": "string", "removed": "bigint", "inserted": "bigint",
-    "updated": "bigint",
+REPORT_COLUMNS = {
+    "table_name": "string", "removed": "bigint", "inserted": "bigint", "updated": "bigint", "load_id": "string",
 }
 
 
 class ConstraintViolation(Exception):
-    """A load whose new rows break a table constraint; it is not published."""
-
-
-class ConcurrentLoad(Exception):
-    """Another load was published since this one began; this one is not."""
+    """A load whose new rows break a table constraint; nothing of it is written."""
 
 
-def load_id_after(last: str) -> str:
-    """Counts up, whatever clocks say, so the greatest id is the latest load."""
-    return f"{int(last.partition('-')[0] or 0) + 1:012d}-{uuid.uuid4().hex[:8]}"
+def new_load_id() -> str:
+    """Sorts by the clock; unique whatever the clock says."""
+    return f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
 def run_id_of(load_id: str) -> Column:
@@ -60,74 +71,94 @@ def run_id_of(load_id: str) -> Column:
     return F.concat_ws("-", *[F.substring(digest, at, n) for at, n in cuts])
 
 
+@contextmanager
+def replacing_partitions(spark: SparkSession) -> Iterator[None]:
+    """Overwrites that run meanwhile replace only the partitions they write."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """Tables under one root folder, opened in the session's catalog under a database of their own."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.database = f"tallyworks_{hashlib.md5(self.root.encode()).hexdigest()[:12]}"
+        self.buckets = buckets
+
+    # --- tables
 
-    # --- reading
+    @staticmethod
+    def _stored(name: str) -> dict[str, str]:
+        columns = REPORT_COLUMNS if name == REPORT else TABLES[name] | STORED_MORE.get(name, {})
+        last = Warehouse._partition(name)
+        return {c: t for c, t in columns.items() if c != last} | {last: columns[last]}
+
+    @staticmethod
+    def _partition(name: str) -> str:
+        return "source_file" if name in BY_FILE else "slice" if name in DIMENSIONS else "load_id"
+
+    def table(self, name: str) -> str:
+        return f"{self.database}.{name}"
 
     def ensure_tables(self) -> None:
-        """Create what is absent; an existing table is left as it is, columns included."""
-        plain = {"ledger": LEDGER, "load_report": REPORT}
-        for name in (*BY_FILE, *DIMENSIONS, *plain):
-            columns = plain.get(name) or self._stored(name)
-            parts = self._partitions(name)
-            writer = self.spark.createDataFrame([], ddl(columns)).write.mode("ignore")
-            (writer.partitionBy(*parts) if parts else writer).parquet(f"{self.root}/{name}")
-
-    def ledger(self) -> DataFrame:
-        return self.spark.read.schema(ddl(LEDGER)).parquet(f"{self.root}/ledger")
-
-    def next_load_id(self) -> str:
-        self.ensure_tables()
-        return load_id_after(self._greatest_load())
+        """Create what is absent and open what another session stored, with the bucket count it was made with."""
+        if self.spark.catalog.databaseExists(self.database):
+            return
+        layout = f"{self.root}/layout"
+        self.spark.createDataFrame([(self.buckets,)], "buckets int").write.mode("ignore").parquet(layout)
+        self.buckets = self.spark.read.parquet(layout).first()["buckets"]
+        place = self.root.replace("'", "\\'")
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{place}'")
+        for name in (*BY_FILE, *DIMENSIONS, LOG, REPORT):
+            buckets = f"CLUSTERED BY (order_id) INTO {self.buckets} BUCKETS" if name in BUCKETED else ""
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.table(name)} ({ddl(self._stored(name))}) USING parquet "
+                f"PARTITIONED BY ({self._partition(name)}) {buckets} LOCATION '{place}/{name}'")
+            folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            folder.getFileSystem(conf).mkdirs(folder)
+            self.spark.sql(f"ALTER TABLE {self.table(name)} RECOVER PARTITIONS")
+
+    def read(self, name: str) -> DataFrame:
+        """The rows of a table."""
+        return self._rows(name).select(*TABLES[name])
 
-    def _greatest_load(self) -> str:
-        return self.ledger().agg(F.max("load_id").alias("load_id")).first()["load_id"] or ""
+    def _rows(self, name: str) -> DataFrame:
+        self.ensure_tables()
+        rows = self.spark.table(self.table(name))
+        # a file without rows keeps an empty line that holds its partition; its key is null
+        return rows.where(F.col(next(iter(TABLES[name]))).isNotNull()) if name in BY_FILE else rows
 
     def load_report(self, load_id: str | None = None) -> DataFrame:
         """Rows removed, inserted and updated by table, of one load or all."""
-        rows = self.spark.read.schema(ddl(REPORT)).parquet(f"{self.root}/load_report")
+        self.ensure_tables()
+        rows = self.spark.table(self.table(REPORT))
         return rows if load_id is None else rows.where(F.col("load_id") == F.lit(load_id))
 
-    def read(self, name: str) -> DataFrame:
-        """The current rows of a table."""
-        if name == "etl_run_log":
-            return self.ledger().where("kind = 'etl_run_log'").select(*TABLES[name])
-        stored = self.spark.read.schema(ddl(self._stored(name))).parquet(f"{self.root}/{name}")
-        if name in DIMENSIONS:
-            latest = self._latest(name)
-            return stored.where(F.col("load_id") == F.lit(latest)).drop("load_id")
-        # one row per file; partitions of other loads are pruned by it
-        keys = ["source_file", "load_id"]
-        return stored.join(self.current(name), keys, "left_semi").select(*TABLES[name])
-
-    def current(self, name: str) -> DataFrame:
-        """The load whose rows count, for each file of a table."""
-        rows = self.ledger().where(F.col("kind") == name)
-        last = F.max(F.struct("load_id", "low", "high")).alias("last")
-        return rows.groupBy("source_file").agg(last).select("source_file", "last.*")
-
-    def _latest(self, name: str) -> str:
-        rows = self.ledger().where(F.col("kind") == name)
-        return rows.agg(F.max("load_id").alias("load_id")).first()["load_id"] or ""
-
-    def _last_key(self, name: str) -> int:
-        return M.last_key(self.ledger().where(F.col("kind") == name), "last_key")
-
-    @staticmethod
-    def _partitions(name: str) -> tuple[str, ...]:
-        if name in ("ledger", "load_report"):
-            return ()
-        return ("source_file", "load_id") if name in BY_FILE else ("load_id",)
-
-    @staticmethod
-    def _stored(name: str) -> dict[str, str]:
-        columns = {c: t for c, t in TABLES[name].items() if c != "source_file"}
+    def _replace(self, name: str, rows: DataFrame, files: DataFrame | None = None) -> None:
+        """Overwrite the partitions of ``rows``, and of ``files`` also where they have no row."""
+        columns = self._stored(name)
+        rows = rows.select(*columns)
         if name in BY_FILE:
-            columns["source_file"] = "string"
-        return columns | {"load_id": "string"}
+            empty = [F.lit(None).cast(t).alias(c) for c, t in columns.items() if c != "source_file"]
+            rows = rows.unionByName(files.select(*empty, "source_file"))
+            # one output for each bucket of a file; rejects by share of a file. A huge file is many outputs
+            share = F.pmod(F.hash("order_id"), F.lit(self.buckets)) if name in BUCKETED \
+                else F.floor(F.col("row_num") / ROWS_PER_FILE)
+            rows = rows.repartition("source_file", share)
+        elif name in DIMENSIONS:
+            rows = rows.repartition("slice")
+        else:
+            rows = rows.coalesce(1)  # a few small rows for each file of a load
+        with replacing_partitions(self.spark):
+            rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).insertInto(self.table(name), overwrite=True)
 
     # --- loading
 
@@ -142,236 +173,156 @@ class Warehouse:
         load_id: str | None = None,
         started_at: dt.datetime | None = None,
     ) -> DataFrame:
-        """Load judged rows and their rejects, both written tables, and publish them.
+        """Load judged rows and their rejects, both written tables. Returns the run log rows of the load.
 
-        ``files`` has one row per file of the load: ``source_file`` and ``last_row``, its last
-        line number. Returns the run log rows of the load.
+        ``files`` has one row per file of the load: ``source_file`` and ``last_row``, its last line number.
         """
-        self.ensure_tables()
-        seen = self._greatest_load()
-        load_id = load_id or load_id_after(seen)
+        load_id = load_id or new_load_id()
         started_at = started_at or dt.datetime.now()
-        files = space.settle(files.select("source_file", "last_row"), "files")
-        run_id, stamp = run_id_of(load_id), F.lit(dt.datetime.now())
+        stamp = F.lit(dt.datetime.now())
+        files = self._counted(files, judged, load_id, space)
+        run_ids = files.select("source_file", "run_id")
+        last = self._last_keys(load_id)
 
         dims, changes = {}, []
         for name, incoming in (("dim_customers", customers), ("dim_products", products)):
-            id_column, key = DIMENSIONS[name]
-            changes.append(self._dimension_changes(name, incoming, id_column))
-            merged = M.upsert_dim(self.read(name), incoming, id_column, key, space, stamp)
-            self._write(merged, name, load_id)
-            dims[name] = self._written(name, load_id)
-
-        valid = space.settle(accepted(judged).withColumn("run_id", run_id), "valid")
-        staged = valid.withColumn("loaded_at", stamp)
-        self._write(staged, "stg_sales", load_id)
+            dims[name], change = self._merged(name, incoming, space, stamp)
+            changes.append(change)
 
-        winners = M.last_file_wins(valid, files, space)
+        staged = accepted(judged).join(run_ids, "source_file").withColumn("loaded_at", stamp)
+        winners = M.last_file_wins(staged, files, space)
         facts = M.resolve_keys(winners, dims["dim_customers"], dims["dim_products"])
-        facts, sales_end = self._keyed(facts, "fact_sales", "sales_key", files, space)
-        self._write(facts.withColumn("loaded_at", stamp), "fact_sales", load_id)
-
-        rejects, reject_end = self._keyed(
-            rejects.withColumn("run_id", run_id), "etl_rejected_sales", "rejected_id", files, space
+        facts = self._keyed(facts, "sales_key", last["last_sales_key"], files)
+        facts = space.settle(facts.select(*TABLES["fact_sales"]), "facts")
+        rejects = self._keyed(rejects, "rejected_id", last["last_rejected_id"], files)
+        rejects = rejects.join(run_ids, "source_file").withColumn("rejected_at", stamp)
+
+        kept, displaced = self._displaced(facts, files, space)
+        report = space.settle(self._report(load_id, facts, files, displaced, changes), "report")
+        runs = space.settle(self._runs(load_id, files, facts, started_at, last), "runs")
+        new = {"stg_sales": staged, "fact_sales": facts, "etl_rejected_sales": rejects} | dims
+        self._audit(new, self.read(LOG).join(runs, "run_id", "left_anti").unionByName(runs.select(*TABLES[LOG])))
+
+        for name, rows in dims.items():
+            self._replace(name, rows)
+        self._replace("stg_sales", staged, files)
+        self._replace("etl_rejected_sales", rejects, files)
+        touched = files.select("source_file").unionByName(displaced.select("source_file"))
+        self._replace("fact_sales", facts.unionByName(kept), touched)
+        self._replace(REPORT, report)
+        self._replace(LOG, runs)
+        return self.read(LOG).join(runs.select("run_id"), "run_id", "left_semi")
+
+    def _counted(self, files: DataFrame, judged: DataFrame, load_id: str, space: Workspace) -> DataFrame:
+        """One row for each file of the load, also one without rows: its run, the rows it brings, its place among the
+        files by name and the lines before it."""
+        counted = judged.groupBy("source_file").agg(
+            F.count(F.lit(1)).alias("rows_extracted"), F.count_if(F.expr(IS_CLEAN)).alias("rows_valid"))
+        named = files.select("source_file", "last_row", run_id_of(load_id).alias("run_id"))
+        whole = named.join(counted, "source_file", "left").na.fill(0, ["rows_extracted", "rows_valid"])
+        # the window orders one row per file
+        by_name = W.orderBy("source_file")
+        before = F.sum("last_row").over(by_name.rowsBetween(W.unboundedPreceding, -1))
+        places = {"file_no": F.row_number().over(by_name), "lines_before": F.coalesce(before, F.lit(0))}
+        return space.settle(whole.withColumns(places), "files")
+
+    def _last_keys(self, load_id: str) -> dict[str, int]:
+        """The last keys given out by other loads; a load that runs again gives out its own keys again."""
+        others = self._rows(LOG).where(F.col("load_id") != F.lit(load_id))
+        names = ("last_sales_key", "last_rejected_id")
+        return others.agg(*[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in names]).first().asDict()
+
+    def _merged(self, name: str, incoming: DataFrame, space: Workspace, stamp: Column) -> tuple[DataFrame, DataFrame]:
+        """The dimension after the load, and one row that counts what changes."""
+        id_column, key = DIMENSIONS[name]
+        before = self.read(name)
+        known = M.last_key(before, key)
+        merged = M.upsert_dim(before, incoming, id_column, key, space, stamp)
+        merged = merged.withColumn("slice", F.pmod(F.hash(id_column), F.lit(SLICES)))
+        merged = space.settle(merged, name)
+        change = merged.agg(
+            F.lit(name).alias("table_name"),
+            F.lit(0).cast("bigint").alias("removed"),
+            F.count_if(F.col(key) > known).alias("inserted"),
+            F.count_if((F.col(key) <= known) & (F.col("updated_at") == stamp)).alias("updated"),
         )
-        self._write(rejects.withColumn("rejected_at", stamp), "etl_rejected_sales", load_id)
-
-        displaced = self._displace(winners, files, load_id, space)
+        return merged, change
 
-        runs = self._runs(load_id, files, judged, started_at)
-        self._audit(load_id, dims, runs)
-        report = space.settle(self._report(load_id, files, displaced, changes), "report")
-        ends = {"fact_sales": sales_end, "etl_rejected_sales": reject_end}
-        self._publish(load_id, seen, files, displaced, runs, ends)
-        report.coalesce(1).write.mode("append").parquet(f"{self.root}/load_report")
-        return self.read("etl_run_log").join(runs.select("run_id"), "run_id", "left_semi")
-
-    def _keyed(
-        self, rows: DataFrame, name: str, key: str, files: DataFrame, space: Workspace
-    ) -> tuple[DataFrame, int]:
+    @staticmethod
+    def _keyed(rows: DataFrame, key: str, start: int, files: DataFrame) -> DataFrame:
         """Keys above all earlier ones: lines before this file in the load, plus the line number.
 
         Unique without counting, sorting or shuffling rows; as with any sequence, values may be
         left out.
         """
-        before = W.orderBy("source_file").rowsBetween(W.unboundedPreceding, -1)
-        start = self._last_key(name)
-        # the window orders one row per file
-        placed = space.settle(
-            files.select(
-                "source_file",
-                (F.coalesce(F.sum("last_row").over(before), F.lit(0)) + start).alias("_before"),
-            ),
-            f"{key}-offsets",
-        )
-        end = files.agg(F.coalesce(F.sum("last_row"), F.lit(0)).alias("n")).first()["n"] + start
-        keyed = rows.join(placed, "source_file").withColumn(key, F.col("_before") + F.col("row_num"))
-        return keyed.drop("_before"), end
+        placed = rows.join(files.select("source_file", "lines_before"), "source_file")
+        return placed.withColumn(key, F.lit(start) + F.col("lines_before") + F.col("row_num"))
 
-    def _displace(
-        self, load: DataFrame, files: DataFrame, load_id: str, space: Workspace
-    ) -> DataFrame:
-        """Rewrite the facts of other files that lose order ids to this load.
+    def _displaced(self, facts: DataFrame, files: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame]:
+        """What is left of other files that lose order ids to this load, and how many rows each loses.
 
-        Those are the ids staged earlier for the files of the load and the load's own. Only files
-        that hold such an id are rewritten; their staging rows stay. Returns these files.
+        Lost are the ids staged earlier for the files of the load and the load's own. The ids meet the stored facts
+        in their buckets; the least and greatest of them let whole row groups be skipped. Staging rows stay.
         """
-        doomed = space.settle(M.doomed_orders(self.read("stg_sales"), load, files), "doomed")
+        # the comparison lets the planner prune partitions by the files of the load
+        ours = files.where("last_row > 0")
+        doomed = space.settle(M.doomed_orders(self.read("stg_sales"), facts, ours), "doomed")
         ends = doomed.agg(F.min("order_id").alias("low"), F.max("order_id").alias("high")).first()
-        # one row per file: only partitions whose ids can overlap are opened
-        near = self.current("fact_sales").join(files, "source_file", "left_anti").where(
-            (F.col("high") >= F.lit(ends.low)) & (F.col("low") <= F.lit(ends.high))
-        )
-        stored = self.spark.read.schema(ddl(self._stored("fact_sales"))).parquet(
-            f"{self.root}/fact_sales"
-        )
-        others = stored.join(space.settle(near.select("source_file", "load_id"), "near"),
-                             ["source_file", "load_id"], "left_semi").drop("load_id")
-        hit = others.join(doomed, "order_id", "left_semi").select("source_file").distinct()
+        others = self.read("fact_sales").join(files, "source_file", "left_anti")
+        near = others.where(F.col("order_id").between(F.lit(ends.low), F.lit(ends.high)))
+        hit = near.join(doomed, "order_id", "left_semi").groupBy("source_file").agg(F.count(F.lit(1)).alias("lost"))
         hit = space.settle(hit, "displaced")
-        if not hit.isEmpty():
-            kept = others.join(hit, "source_file", "left_semi").join(
-                doomed, "order_id", "left_anti"
-            )
-            self._write(kept, "fact_sales", load_id)
-        return hit
+        kept = others.join(hit.where("lost > 0"), "source_file", "left_semi").join(doomed, "order_id", "left_anti")
+        return space.settle(kept.select(*TABLES["fact_sales"]), "kept"), hit
 
-    def _write(self, df: DataFrame, name: str, load_id: str) -> None:
-        """Append the partitions of a load. Rows are brought together by file and by share of a
-        file, so a small file gives one output file and a huge one many of even size."""
-        df = df.withColumn("load_id", F.lit(load_id)).select(*self._stored(name))
-        if name in BY_FILE:
-            place = F.col("row_num") if "row_num" in df.columns else F.col("sales_key")
-            df = df.repartition("source_file", F.floor(place / ROWS_PER_FILE))
-        writer = df.write.mode("append").partitionBy(*self._partitions(name))
-        writer.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{self.root}/{name}")
-
-    def _written(self, name: str, load_id: str) -> DataFrame:
-        stored = self.spark.read.schema(ddl(self._stored(name))).parquet(f"{self.root}/{name}")
-        return stored.where(F.col("load_id") == F.lit(load_id)).drop("load_id")
-
-    def _dimension_changes(self, name: str, incoming: DataFrame, id_column: str) -> DataFrame:
-        known = self.read(name).select(id_column, F.lit(True).alias("_known"))
-        return incoming.select(id_column).join(known, id_column, "left").agg(
-            F.lit(name).alias("table_name"),
-            F.lit(0).cast("bigint").alias("removed"),
-            F.count_if(F.col("_known").isNull()).alias("inserted"),
-            F.count("_known").alias("updated"),
-        )
-
-    def _report(
-        self, load_id: str, files: DataFrame, displaced: DataFrame, changes: list[DataFrame]
-    ) -> DataFrame:
-        """Counts before publishing: what was current for the files of the load goes, and of
-        other files' facts those that were not written again."""
+    def _report(self, load_id: str, facts: DataFrame, files: DataFrame, displaced: DataFrame,
+                changes: list[DataFrame]) -> DataFrame:
+        """Counts of what goes and comes: the partitions of the load's files are replaced, other files lose rows."""
         rows = changes[0]
         for more in changes[1:]:
             rows = rows.unionByName(more)
-        for name in BY_FILE:
-            touched = files.select("source_file").union(displaced.select("source_file")) \
-                if name == "fact_sales" else files.select("source_file")
-            before = self.read(name).join(touched, "source_file", "left_semi").select(
-                "source_file", F.lit(1).alias("old"), F.lit(0).alias("new"))
-            after = self._written(name, load_id).select(
-                "source_file", F.lit(0).alias("old"), F.lit(1).alias("new"))
-            again = displaced.select("source_file", F.lit(True).alias("_again")) \
-                if name == "fact_sales" else files.select("source_file", F.lit(False).alias("_again"))
-            both = before.unionByName(after).groupBy("source_file").agg(
-                F.sum("old").alias("old"), F.sum("new").alias("new")).join(again, "source_file", "left")
-            kept = F.when(F.col("_again"), F.col("new")).otherwise(F.lit(0))
-            rows = rows.unionByName(both.agg(
+        brought = {
+            "stg_sales": files.agg(F.sum("rows_valid").alias("inserted")),
+            "fact_sales": facts.agg(F.count(F.lit(1)).alias("inserted")),
+            "etl_rejected_sales": files.agg(F.sum(F.col("rows_extracted") - F.col("rows_valid")).alias("inserted")),
+        }
+        lost = displaced.agg(F.coalesce(F.sum("lost"), F.lit(0)).alias("lost"))
+        ours = files.where("last_row > 0").select("source_file")
+        for name, counted in brought.items():
+            gone = self.read(name).join(ours, "source_file", "left_semi").agg(F.count(F.lit(1)).alias("own"))
+            both = gone.join(counted).join(lost)  # one row each
+            rows = rows.unionByName(both.select(
                 F.lit(name).alias("table_name"),
-                F.coalesce(F.sum(F.col("old") - kept), F.lit(0)).alias("removed"),
-                F.coalesce(F.sum(F.col("new") - kept), F.lit(0)).alias("inserted"),
+                (F.col("own") + (F.col("lost") if name == "fact_sales" else F.lit(0))).alias("removed"),
+                F.coalesce("inserted", F.lit(0)).cast("bigint").alias("inserted"),
                 F.lit(0).cast("bigint").alias("updated"),
             ))
-        return rows.withColumn("load_id", F.lit(load_id)).select(*REPORT)
-
-    def remove_replaced(self) -> int:
-        """Delete the partitions of loads that no file points to any more; returns how many.
-
-        Run it when no reader still holds an older snapshot.
-        """
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        removed = 0
-        for name in (*BY_FILE, *DIMENSIONS):
-            keys = list(self._partitions(name))
-            stored = self.spark.read.schema(ddl(self._stored(name))).parquet(f"{self.root}/{name}")
-            paths = stored.select(*keys, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("path"))
-            if name in DIMENSIONS:
-                old = paths.where(F.col("load_id") < F.lit(self._latest(name)))
-            else:
-                old = paths.join(self.current(name), keys, "left_anti")
-            for row in old.select("path").distinct().toLocalIterator():
-                folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.path))
-                removed += bool(folder.getFileSystem(conf).delete(folder, True))
-        return removed
-
-    def _audit(self, load_id: str, dims: dict[str, DataFrame], runs: DataFrame) -> None:
-        tables = {name: self._written(name, load_id) for name in BY_FILE} | dims
-        tables["etl_run_log"] = self.read("etl_run_log").unionByName(runs)
-        broken = constraint_audit(tables).where("violations > 0").collect()
-        if broken:
-            raise ConstraintViolation(
-                "; ".join(f"{r.table_name} {r.constraint_name}: {r.violations}" for r in broken)
-            )
-
-    def _runs(
-        self, load_id: str, files: DataFrame, judged: DataFrame, started_at: dt.datetime
-    ) -> DataFrame:
-        """One run per file, also for one without rows. Loaded counts the facts written."""
-        counted = judged.groupBy("source_file").agg(
-            F.count(F.lit(1)).alias("rows_extracted"),
-            F.count_if(F.expr("fired = 0")).alias("rows_valid"),
-        )
-        loaded = self._written("fact_sales", load_id).groupBy("source_file").agg(
-            F.count(F.lit(1)).alias("rows_loaded")
-        )
-        runs = (
-            files.join(counted, "source_file", "left")
-            .join(loaded, "source_file", "left")
-            .na.fill(0, ["rows_extracted", "rows_valid", "rows_loaded"])
-            .withColumn("rows_rejected", F.col("rows_extracted") - F.col("rows_valid"))
-        )
+        return rows.withColumn("load_id", F.lit(load_id)).select(*REPORT_COLUMNS)
+
+    def _runs(self, load_id: str, files: DataFrame, facts: DataFrame, started_at: dt.datetime,
+              last: dict[str, int]) -> DataFrame:
+        """One run per file, with the last keys of the load on each."""
+        loaded = facts.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_loaded"))
+        lines = files.agg(F.coalesce(F.sum("last_row"), F.lit(0)).alias("n")).first()["n"]
+        runs = files.join(loaded, "source_file", "left").na.fill(0, ["rows_loaded"])
         return runs.select(
-            run_id_of(load_id).alias("run_id"),
+            "run_id",
             "source_file",
             F.lit(started_at).alias("started_at"),
             F.lit(dt.datetime.now()).alias("finished_at"),
-            "rows_extracted", "rows_valid", "rows_rejected", "rows_loaded",
+            "rows_extracted",
+            "rows_valid",
+            (F.col("rows_extracted") - F.col("rows_valid")).alias("rows_rejected"),
+            "rows_loaded",
             F.lit("SUCCESS").alias("status"),
+            *[F.lit(at + lines).cast("bigint").alias(name) for name, at in last.items()],
+            F.lit(load_id).alias("load_id"),
         )
 
-    def _publish(
-        self,
-        load_id: str,
-        seen: str,
-        files: DataFrame,
-        displaced: DataFrame,
-        runs: DataFrame,
-        ends: dict[str, int],
-    ) -> None:
-        bounds = self._written("fact_sales", load_id).groupBy("source_file").agg(
-            F.min("order_id").alias("low"), F.max("order_id").alias("high")
-        )
-
-        def entries(kind: str, names: DataFrame, last_key: int | None = None) -> DataFrame:
-            return names.select("source_file").withColumns(
-                {"kind": F.lit(kind), "last_key": F.lit(last_key).cast("bigint")}
+    @staticmethod
+    def _audit(new: dict[str, DataFrame], log: DataFrame) -> None:
+        broken = constraint_audit(new | {LOG: log}).where("violations > 0").collect()
+        if broken:
+            raise ConstraintViolation(
+                "; ".join(f"{r.table_name} {r.constraint_name}: {r.violations}" for r in broken)
             )
-
-        everything = files.limit(1).select(F.lit(ALL_FILES).alias("source_file"))
-        rows = runs.withColumn("kind", F.lit("etl_run_log"))
-        for name in BY_FILE:
-            given = entries(name, files, ends.get(name))
-            if name == "fact_sales":
-                given = given.unionByName(entries(name, displaced)).join(bounds, "source_file", "left")
-            rows = rows.unionByName(given, allowMissingColumns=True)
-        for name in DIMENSIONS:
-            rows = rows.unionByName(entries(name, everything), allowMissingColumns=True)
-        # a few small rows per file of the load, in one output file: it appears whole or not
-        ledger = rows.withColumn("load_id", F.lit(load_id)).select(*LEDGER)
-        if self._greatest_load() != seen:
-            raise ConcurrentLoad(f"the warehouse moved on from load {seen or 'none'}")
-        ledger.coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")

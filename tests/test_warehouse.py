@@ -1,4 +1,5 @@
 import json
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -167,26 +168,65 @@ def test_files_of_one_load_that_share_an_order(site):
     assert len({r.run_id for r in runs}) == 2
 
 
-def test_report_and_removal_of_replaced_loads(site):
+def test_report_of_a_load(site):
     site.load([line(1), line(2)], "sales_2026_01.csv")
-    site.load([line(2, quantity="8"), line(5), line(6, quantity="0")], "extra_2026_01.csv")
-    last = site.warehouse.load_report().agg(F.max("load_id")).first()[0]
-    report = {r.table_name: (r.removed, r.inserted, r.updated) for r in site.warehouse.load_report(last).collect()}
+    site.load([line(2, quantity="8"), line(5), line(6, quantity="0")], "extra_2026_01.csv", load_id="z")
+    report = {r.table_name: (r.removed, r.inserted, r.updated) for r in site.warehouse.load_report("z").collect()}
     assert report == {"dim_customers": (0, 0, 20), "dim_products": (0, 0, 15), "stg_sales": (0, 2, 0),
                       "fact_sales": (1, 2, 0), "etl_rejected_sales": (0, 1, 0)}
-    before = sorted(map(tuple, site.warehouse.read("fact_sales").collect()))
-    assert site.warehouse.remove_replaced() >= 3 and site.warehouse.remove_replaced() == 0
-    assert sorted(map(tuple, site.warehouse.read("fact_sales").collect())) == before
 
 
-def test_a_load_that_lost_a_race_is_not_published(site, monkeypatch):
-    site.load([line(1)])
-    seen = iter(["000000000001-a", "000000000001-a", "000000000002-b"])
-    monkeypatch.setattr(site.warehouse.__class__, "_greatest_load", lambda self: next(seen))
-    with pytest.raises(WH.ConcurrentLoad):
-        site.load([line(1), line(2)])
-    monkeypatch.undo()
-    assert site.totals()[0] == 1
+def test_a_file_that_loses_all_its_facts_holds_none(site):
+    site.load([line(1)], "sales_2026_01.csv")
+    site.load([line(1, quantity="8")], "extra_2026_01.csv")
+    assert [r.source_file for r in site.warehouse.read("fact_sales").collect()] == ["extra_2026_01.csv"]
+    assert site.warehouse.read("stg_sales").count() == 2
+
+
+def test_a_load_that_runs_again_changes_nothing(site):
+    """As after a failure between its writes: the same id, the same rows and keys, one run in the log."""
+    site.load([line(1), line(2), line(3, quantity="0")], load_id="a")
+    site.load([line(4)], "other_2026_01.csv", load_id="b")
+    tables = {n: sorted(str(r) for r in site.warehouse.read(n).drop("loaded_at", "rejected_at", "updated_at", "started_at", "finished_at")
+                        .collect()) for n in TABLES}
+    site.load([line(4)], "other_2026_01.csv", load_id="b")
+    again = {n: sorted(str(r) for r in site.warehouse.read(n).drop("loaded_at", "rejected_at", "updated_at", "started_at", "finished_at")
+                       .collect()) for n in TABLES}
+    assert again == tables and len(tables["etl_run_log"]) == 2
+
+
+def test_only_touched_partitions_are_written(site):
+    site.load({"a_2026_01.csv": [line(1)], "b_2026_01.csv": [line(2)]})
+    folder = site.root / "warehouse" / "fact_sales"
+
+    def outputs(name):
+        return {p.name for p in (folder / f"source_file={name}").glob("*.parquet")}
+
+    before = outputs("a_2026_01.csv"), outputs("b_2026_01.csv")
+    site.load([line(3)], "b_2026_01.csv")
+    assert outputs("a_2026_01.csv") == before[0] and not outputs("b_2026_01.csv") & before[1]
+
+
+def test_stored_tables_are_opened_as_they_were_made(site):
+    site.load([line(1), line(2)])
+    # a copy elsewhere is known to no catalog yet
+    shutil.copytree(site.warehouse.root, site.root / "copy")
+    later = WH.Warehouse(site.spark, str(site.root / "copy"), buckets=5)
+    assert later.read("fact_sales").count() == 2 and later.buckets == WH.BUCKETS
+
+
+def test_facts_meet_staging_without_a_shuffle(site):
+    site.load(site.demo())
+    facts, staged = site.warehouse.read("fact_sales"), site.warehouse.read("stg_sales")
+    old = site.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    site.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for check in (R.recomputed_measures(facts, staged), R.gap_rows(facts, staged)):
+            plan = check._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan
+            assert "Exchange" not in plan[plan.index("SortMergeJoin"):], plan
+    finally:
+        site.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_a_failed_load_is_not_seen(site):
