@@ -334,6 +334,7 @@ def _audit() -> str:
 def oracle() -> dict[str, str]:
     returned = "(SELECT * REPLACE ('returns.csv' AS source_file) FROM feed WHERE l_returnflag = 'R')"
     kept = "(SELECT * FROM feed WHERE l_returnflag <> 'R')"
+    again = "(SELECT * FROM feed WHERE l_returnflag <> 'R' AND source_file LIKE 'sales_%_06.csv')"
     payload = ", ".join(FIELDS)
     return {
         "q1_revenue_per_day": f"""WITH {FACTS}
@@ -528,6 +529,22 @@ FROM rejects""",
 SELECT source_file, 'SUCCESS' AS status, CAST(2 AS BIGINT) AS runs, 2 * rows_extracted AS rows_extracted,
   2 * rows_valid AS rows_valid, 2 * rows_rejected AS rows_rejected, 2 * rows_valid AS rows_loaded
 FROM runs""",
+        "t_arriving_files": f"""WITH {JUDGED},{judged_from(again, "_2")},
+counted AS (
+  SELECT source_file, count(*) FILTER (WHERE codes = '') AS staged, count(*) FILTER (WHERE codes <> '') AS rejected
+  FROM (SELECT source_file, codes FROM judged WHERE source_file NOT LIKE 'sales_%_06.csv'
+        UNION ALL SELECT source_file, codes FROM judged_2) GROUP BY source_file
+)
+SELECT c.source_file, CASE WHEN c.source_file LIKE 'sales_%_06.csv' THEN 2 ELSE 1 END::BIGINT AS runs, f.facts, f.net_sales,
+  nullif(c.staged, 0) AS staged, nullif(c.rejected, 0) AS rejected
+FROM counted c LEFT JOIN ({_per_file("(SELECT source_file, net_sales FROM measured WHERE source_file NOT LIKE 'sales_%_06.csv' "
+                                     "UNION ALL SELECT source_file, net_sales FROM measured_2)")}) f USING (source_file)""",
+        "s_records_over_lines": f"""WITH {FEED},
+lines AS (SELECT *, CASE WHEN row_num % 7 = 0 THEN 3 WHEN row_num % 2 = 0 THEN 2 ELSE 1 END AS n FROM feed)
+SELECT source_file, (1 + sum(n) OVER (PARTITION BY source_file ORDER BY row_num))::BIGINT AS last_line, order_id,
+  CASE n WHEN 3 THEN chr(10) || customer_id || chr(10) || '", x' WHEN 2 THEN customer_id || ',' || chr(10) || 'y'
+    ELSE customer_id END AS customer_id, discount_rate
+FROM lines""",
         "c_constraint_audit": _audit(),
         "c_unique_violations": f"""WITH {FACTS}
 SELECT order_id, count(*) AS n FROM facts GROUP BY order_id HAVING count(*) > 1""",

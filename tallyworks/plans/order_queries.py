@@ -19,6 +19,7 @@ from tallyworks.sources import order_tables as O
 from tallyworks.sources import reference_json as REF
 from tallyworks.plans.warehouse import Warehouse, new_load_id
 from tallyworks.sources.sales_text import read_sales
+from tallyworks.streaming.daily import follow, load_batch
 from tallyworks.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,10 +83,14 @@ def loaded(load: Load, warehouse: Warehouse, spark: SparkSession, sf_dir: str) -
     return load_id
 
 
+#: The feed has a file for each month; at the sizes given, one file has few rows.
+FEW_BUCKETS = 2
+
+
 def stored_load(spark: SparkSession, sf_dir: str, keep_feed: bool = False) -> tuple[Load, Warehouse]:
     """The feed judged and loaded into a new warehouse."""
     load = judged_load(spark, sf_dir, settle=True, keep_feed=keep_feed)
-    warehouse = Warehouse(spark, load.space.path("warehouse"))
+    warehouse = Warehouse(spark, load.space.path("warehouse"), FEW_BUCKETS)
     loaded(load, warehouse, spark, sf_dir)
     return load, warehouse
 
@@ -646,6 +651,61 @@ def k_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- arriving files ---------------------------------------------------------------------
+
+# Fixed value: the month whose files come again.
+RESENT = "sales_%_06.csv"
+
+
+def _delivered(feed: DataFrame, folder: str) -> None:
+    """The feed as one sales file for each source file, its lines in order."""
+    dealt = feed.repartition("source_file").sortWithinPartitions("source_file", "row_num")
+    dealt.select(*SALES_FIELDS, "source_file").write.options(**AS_IS).partitionBy("source_file").csv(folder)
+
+
+def t_arriving_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that arrive on two days, the second day's without returned lines and in place of earlier ones, followed
+    by a stream; then the stream again with nothing new, and its last batch once more."""
+    space = Workspace(spark)
+    feed = space.settle(O.raw_feed(spark, sf_dir, space), "feed")
+    people, goods = space.path("customers"), space.path("products")
+    O.customers(spark, sf_dir).drop("customer_key").write.json(people)
+    O.products(spark, sf_dir).drop("product_key").write.json(goods)
+    inbox, state, root = space.path("inbox"), space.path("state"), space.path("warehouse")
+    load = load_batch(spark, people, goods, space.path("out"), root, "daily", lambda: O.TODAY, reference_layout="lines")
+    days = feed, feed.where(F.col("source_file").like(RESENT) & (F.col("l_returnflag") != "R"))
+    for n, lines in enumerate(days):
+        _delivered(lines, f"{inbox}/day{n}")
+        follow(spark, inbox, state, load).awaitTermination()
+    follow(spark, inbox, state, load).awaitTermination()
+    again = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{inbox}/day1")
+    load(again.select("path", "modificationTime"), 1)
+    warehouse = Warehouse(spark, root)
+    staged = warehouse.read("stg_sales").groupBy("source_file").agg(F.count(F.lit(1)).alias("staged"))
+    rejects = warehouse.read("etl_rejected_sales").groupBy("source_file").agg(F.count(F.lit(1)).alias("rejected"))
+    runs = warehouse.read("etl_run_log").groupBy("source_file").agg(F.count(F.lit(1)).alias("runs"))
+    return runs.join(_per_file(warehouse.read("fact_sales")), "source_file", "left").join(
+        staged, "source_file", "left").join(rejects, "source_file", "left")
+
+
+def s_records_over_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales files whose customer field holds line ends, read in many splits: the fields, and each record's last line."""
+    space = Workspace(spark)
+    feed = space.settle(O.raw_feed(spark, sf_dir, space), "feed")
+    # a bare line end, commas, a doubled quote: half of the records run over two lines, each seventh over three
+    broken = F.when(F.col("row_num") % 7 == 0, F.concat(F.lit("\n"), "customer_id", F.lit('\n"", x')))
+    broken = broken.when(F.col("row_num") % 2 == 0, F.concat("customer_id", F.lit(",\ny"))).otherwise(F.col("customer_id"))
+    cells = [F.concat(F.lit('"'), broken, F.lit('"')) if c == "customer_id" else F.concat(F.lit('"'), c, F.lit('"'))
+             for c in SALES_FIELDS]
+    lines = feed.select("source_file", "row_num", F.concat_ws(",", *cells).alias("line"))
+    header = lines.groupBy("source_file").agg(F.lit(0).cast("bigint").alias("row_num"), F.lit(",".join(SALES_FIELDS)).alias("line"))
+    dealt = lines.unionByName(header).repartition("source_file").sortWithinPartitions("source_file", "row_num")
+    folder = space.path("lines")
+    dealt.select("source_file", F.col("line").alias("value")).write.partitionBy("source_file").text(folder)
+    rows, _ = read_sales(spark, folder, space)
+    return rows.select("source_file", F.col("row_num").alias("last_line"), "order_id", "customer_id", "discount_rate")
+
+
 # --- constraints ------------------------------------------------------------------------
 
 
@@ -693,7 +753,7 @@ QUERIES: dict[str, Query] = {
         s_json_lines_reference, s_product_reference,
         k_dim_upsert_customers, k_dim_upsert_products, k_surrogate_resolve,
         k_reload_idempotent, k_reload_stale_removed, k_reload_cross_file, k_load_report, k_fact_preview,
-        k_rejected_records, k_run_log,
+        k_rejected_records, k_run_log, t_arriving_files, s_records_over_lines,
         c_constraint_audit, c_unique_violations, c_fk_violations, c_stored_constraints,
     )
 }

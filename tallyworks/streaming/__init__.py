@@ -1 +1 @@
-"""No streaming operators: the workload is batch files, and the inventory lists none."""
+"""Loads that follow arriving files."""
