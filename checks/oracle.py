@@ -405,6 +405,16 @@ FROM t_facts WHERE order_id % 103 <> 11 AND gross_sales <> discount_amount + net
 SELECT customer_id, product_id, order_id, order_date, {_INPUTS}, {_MEASURES}
 FROM facts JOIN customers USING (customer_key) JOIN products USING (product_key)
 ORDER BY order_id""",
+        "r7_preview_compare": f"""WITH {JUDGED},
+shown AS (SELECT * REPLACE (CAST(CASE WHEN order_id % 97 = 5 THEN net_sales + 0.01 ELSE net_sales END AS DECIMAL(14,2)) AS net_sales)
+  FROM measured WHERE order_id % 103 <> 11),
+sides AS (
+  SELECT order_id, customer_id, net_sales, 1 AS f, 0 AS p FROM measured
+  UNION ALL SELECT order_id, customer_id, net_sales, 0, 1 FROM shown
+  UNION ALL SELECT order_id, customer_id, net_sales, 0, 1 FROM shown WHERE order_id % 101 = 7
+)
+SELECT order_id, customer_id, CAST(net_sales AS DOUBLE) AS net_sales, sum(f)::BIGINT AS in_facts, sum(p)::BIGINT AS in_preview
+FROM sides GROUP BY order_id, customer_id, sides.net_sales HAVING sum(f) <> sum(p)""",
         "v_judge_primary_code": f"""WITH {JUDGED}
 SELECT source_file, row_num, nullif(split_part(codes, ' | ', 1), '') AS reason_code FROM judged""",
         "v_defect_codes": f"WITH {JUDGED} SELECT source_file, row_num, codes FROM rejects",

@@ -14,6 +14,7 @@ from tallyworks.operators import merge as M
 from tallyworks.operators.audit import constraint_audit, orphan_counts, repeated_values
 from tallyworks.plans import analytics as A
 from tallyworks.plans import reconcile as R
+from tallyworks.plans.sinks import read_preview, write_preview
 from tallyworks.schemas import PREVIEW_COLUMNS, SALES_FIELDS, TABLES, ddl
 from tallyworks.sources import order_tables as O
 from tallyworks.sources import reference_json as REF
@@ -234,6 +235,20 @@ def r7_key_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def r7_preview_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A preview written as CSV with faults planted in it, against the facts that were loaded."""
+    load, warehouse = stored_load(spark, sf_dir)
+    altered = F.when(_planted("order_id", ALTERED), F.col("net_sales") + F.lit("0.01").cast("decimal(14,2)"))
+    shown = load.valid.where(~_planted("order_id", UNSTAGED)).withColumn(
+        "net_sales", F.coalesce(altered, F.col("net_sales")))
+    twice = shown.where(_planted("order_id", TWICE))
+    folder = load.space.path("out")
+    write_preview(shown.unionByName(twice), folder)
+    found = R.preview_differences(
+        read_preview(spark, folder), *[warehouse.read(t) for t in ("fact_sales", "dim_customers", "dim_products")], load.space)
+    return as_double(found.select("order_id", "customer_id", "net_sales", "in_facts", "in_preview"), "net_sales")
+
+
 # --- judgement --------------------------------------------------------------------------
 
 
@@ -745,7 +760,7 @@ QUERIES: dict[str, Query] = {
         q5_rejections_by_reason, q5b_rejected_payload_fields,
         r1_row_conservation, r1_row_conservation_latest, r2_measure_recompute, r3_orphans,
         r4_both_neither, r4_both_neither_latest, r4_missing_lines, r5_additivity_gap, r6_half_cent_rows,
-        r7_key_roundtrip,
+        r7_key_roundtrip, r7_preview_compare,
         v_judge_primary_code, v_defect_codes, v_split_counts, v_dedup_first_accepted,
         v_unknown_fk, v_secondary_code_counts, v_rows_with_code,
         p_key_normalized_audit, p_typed_parse, p_decimal_scale, p_measures,
