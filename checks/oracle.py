@@ -468,6 +468,9 @@ FROM files, (VALUES ('second array'), ('text behind'), ('second field')) AS shap
 UNION ALL SELECT 'wide price', 'list_price does not fit decimal(12,2)', count(*) FROM part""",
         "s_json_reference": f"WITH {CUSTOMERS} SELECT customer_id, customer_name, region, segment "
                             "FROM customers",
+        "s_array_over_splits": f"""WITH {CUSTOMERS}
+SELECT customer_id, customer_name, region, segment, '} "],[{{ ' || customer_name AS said, customer_key AS deep_key
+FROM customers""",
         "s_json_lines_reference": f"WITH {CUSTOMERS} SELECT customer_id, customer_name, region, "
                                   "segment FROM customers",
         "s_product_reference": f"WITH {PRODUCTS} SELECT product_id, product_name, category, "

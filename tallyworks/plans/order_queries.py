@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -476,7 +477,7 @@ def s_reference_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     for shape, written in shapes.items():
         folder = space.path("json")
         arrays.select("part", written.alias("value")).write.partitionBy("part").text(folder)
-        _, faults = REF.build_customers(REF.read_reference(spark, folder), space)
+        _, faults = REF.build_customers(REF.read_reference(spark, folder, "array", space), space)
         found.append(faults.select(F.lit(shape).alias("shape"), "fault"))
     folder = space.path("json")
     wide = (F.col("list_price").cast("decimal(30,2)") * 10_000_000_000).cast("string")
@@ -504,6 +505,40 @@ def s_json_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_customers(spark, folder, "array", space)
 
 
+SPLIT_BYTES = 64 << 10
+
+
+@contextmanager
+def _splits_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Files read meanwhile are cut into splits of this size."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def s_array_over_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as arrays with nested objects, braces and quotes in strings, each file read in many splits."""
+    space = Workspace(spark)
+    folder = space.path("json")
+    notes = F.struct(F.concat(F.lit('} "],[{ '), "customer_name").alias("said"), F.struct(F.array("customer_key").alias("keys")).alias("deep"))
+    one = F.struct("customer_id", "customer_name", "region", "segment", notes.alias("notes"))
+    O.customers(spark, sf_dir).groupBy(F.expr(f"customer_key div {CUSTOMERS_PER_ARRAY}").alias("part")).agg(
+        F.to_json(F.collect_list(one)).alias("value")).write.partitionBy("part").text(folder)
+    with _splits_of(spark, SPLIT_BYTES):
+        elements = space.settle(REF.read_reference(spark, folder, "array", space), "elements")
+    dim, faults = REF.build_customers(elements, space)
+    REF.require_sound(faults)
+    said = elements.select(
+        F.try_variant_get("element", "$.customer_id", "string").alias("customer_id"),
+        F.try_variant_get("element", "$.notes.said", "string").alias("said"),
+        F.try_variant_get("element", "$.notes.deep.keys[0]", "bigint").alias("deep_key"))
+    return dim.select("customer_id", "customer_name", "region", "segment").join(said, "customer_id")
+
+
 def s_json_lines_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with one object per line: files of any size split."""
     space = Workspace(spark)
@@ -513,7 +548,7 @@ def s_json_lines_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _read_customers(spark: SparkSession, folder: str, layout: str, space: Workspace) -> DataFrame:
-    dim, faults = REF.build_customers(REF.read_reference(spark, folder, layout), space)
+    dim, faults = REF.build_customers(REF.read_reference(spark, folder, layout, space), space)
     REF.require_sound(faults)
     return dim.select("customer_id", "customer_name", "region", "segment")
 
@@ -765,7 +800,7 @@ QUERIES: dict[str, Query] = {
         v_unknown_fk, v_secondary_code_counts, v_rows_with_code,
         p_key_normalized_audit, p_typed_parse, p_decimal_scale, p_measures,
         s_period_from_filename, s_csv_scan, s_csv_row_numbers, s_file_gate, s_file_shapes, s_reference_shapes, s_json_reference,
-        s_json_lines_reference, s_product_reference,
+        s_array_over_splits, s_json_lines_reference, s_product_reference,
         k_dim_upsert_customers, k_dim_upsert_products, k_surrogate_resolve,
         k_reload_idempotent, k_reload_stale_removed, k_reload_cross_file, k_load_report, k_fact_preview,
         k_rejected_records, k_run_log, t_arriving_files, s_records_over_lines,
