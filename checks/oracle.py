@@ -469,7 +469,7 @@ UNION ALL SELECT 'wide price', 'list_price does not fit decimal(12,2)', count(*)
         "s_json_reference": f"WITH {CUSTOMERS} SELECT customer_id, customer_name, region, segment "
                             "FROM customers",
         "s_array_over_splits": f"""WITH {CUSTOMERS}
-SELECT customer_id, customer_name, region, segment, '} "],[{{ ' || customer_name AS said, customer_key AS deep_key
+SELECT customer_id, customer_name, region, segment, '}} "],[{{ ' || customer_name AS said, customer_key AS deep_key
 FROM customers""",
         "s_json_lines_reference": f"WITH {CUSTOMERS} SELECT customer_id, customer_name, region, "
                                   "segment FROM customers",
