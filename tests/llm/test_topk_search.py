@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -52,12 +53,30 @@ def test_blocks_of_queries(spark, room, monkeypatch):
     assert run(spark, room, rows, every=2, per_shard=30) == brute(rows, 2)
 
 
-def test_max_score_drops_candidates_early(monkeypatch):
-    """Candidates that can't compete aren't probed: with one wide term few are left for the others."""
+def test_scores_beyond_64_bits_rank_exactly(spark, room):
+    rows = [(0, [1e30, 1.0]), (1, [-1.0, 1.0]), (2, [1e30, 1.0]), (3, [1e30, 2.0]), (4, [-1e30, 0.0]), (5, [3e38, -1.0]),
+            (50, [-1e30, 5.0]), (6, [2e8, 2e8]), (100, [2e8, 2e8])]
+    asked = [(n, r, m, min(max(s, topk_search.LEAST), topk_search.MOST)) for n, r, m, s in brute(rows, 50)]
+    assert run(spark, room, rows, per_shard=3) == asked
+    assert run(spark, room, rows) == asked
+
+
+@pytest.mark.parametrize("size", [1, 2**20, 2**40])
+def test_terms_below_the_floor_are_probed_for_few(size):
+    """One term outweighs the others: it alone is essential, and they are probed only while a candidate competes."""
     draw = np.random.Generator(np.random.PCG64(0))
-    terms = draw.integers(-3, 4, (2000, 32))
-    terms[:, 5] = draw.integers(-10_000, 10_000, 2000)
-    query = np.ones((1, 32), np.int64)
-    found = topk_search.max_score(query, np.array([-1]), terms, np.arange(2000), 5)
-    whole = terms.sum(axis=1)
+    terms = draw.integers(-3, 4, (5000, 32)) * size
+    terms[:, 5] = draw.integers(-10_000, 10_000, 5000) * size
+    query, work = np.full((1, 32), size), Counter()
+    found = topk_search.max_score(query, np.array([-1]), terms, np.arange(5000), 5, work)
+    whole = (terms.astype(object) * size).sum(axis=1)
     assert [s for _, _, s in found] == sorted(whole, reverse=True)[:5]
+    assert work["postings"] <= 3 * 5000  # of 32 * 5000
+    assert work["probes"] < 31 * 500
+
+
+def test_equal_bounds_leave_all_terms_essential():
+    """Without a term below the floor nothing is left out, and nothing is lost."""
+    terms = np.array([[0, 1], [1, 0], [1, 1], [0, 0]] * 3)
+    found = topk_search.max_score(np.array([[1, 1]]), np.array([2]), terms, np.arange(12), 5)
+    assert [(m, s) for _, m, s in found] == [(6, 2), (10, 2), (0, 1), (1, 1), (4, 1)]
