@@ -1,11 +1,12 @@
 """License scans through a positional index of rare words.
 
-A template is a run of words with a mandatory key phrase inside. Of the key phrase the word that
-fewest documents of the corpus hold (the highest inverse document frequency) is the template's
-anchor. A document's positions of anchor words are looked up in the templates' postings (template, offset);
-position minus offset is where the template would start, and there the key phrase is verified
-word by word and the other template words are intersected by relative position. As a key phrase can't occur
-without its anchor, the choice of anchors decides the work and never the result.
+A template is a run of words with a mandatory key phrase inside. The index lists for each word of a key phrase the
+templates and offsets where it stands. The words of all key phrases are ranked by how few documents of the corpus hold
+them (inverse document frequency). A file ranks the license words it holds; a template whose key words it holds all is
+looked up by the two of them that rank highest in the file. Position minus offset is where a template
+would start; the starts that both words give are intersected, and there the key phrase is verified whole and the
+template's other words are compared at their relative positions. As a key phrase can't occur without all of its
+words, ranks decide the work and never the result.
 
 Words are runs of digits, lower-cased A-Z and anything beyond ASCII. Defined cases: a null text has
 no words; ``first_word`` and ``last_word`` are null without a base phrase; the score is the best
@@ -69,6 +70,18 @@ TEMPLATES = (
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy",
              "permission is hereby granted free of charge"),
     Template("mpl-2", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
+    Template("agpl", "under the terms of the gnu affero general public license", "gnu affero general public license"),
+    Template("boost", "distributed under the boost software license version 1 0", "boost software license"),
+    Template("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license",
+             "creative commons attribution noncommercial"),
+    Template("cc-by-nd", "licensed under cc by nd 4 0", "cc by nd"),
+    Template("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license",
+             "creative commons attribution sharealike"),
+    Template("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+             "permission to use copy modify and or distribute this software"),
+    Template("lgpl", "under the terms of the gnu lesser general public license", "gnu lesser general public license"),
+    Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
     Template("proprietary", "all rights reserved no part may be reproduced", "all rights reserved"),
 )
 
@@ -86,63 +99,71 @@ def document_counts(words: DataFrame, templates: Sequence[Template]) -> dict[str
     return {w: counts.get(w, 0) for w in known}
 
 
-def postings(templates: Sequence[Template], counts: dict[str, int]) -> list[tuple[Template, str, int]]:
-    """Each template with its anchor and the anchor's offset in the template."""
-    found = []
-    for t in templates:
-        at = min(range(len(t.key_words)), key=lambda i: (counts[t.key_words[i]], i))
-        found.append((t, t.key_words[at], t.key_at + at))
-    return found
+def ranked_words(counts: dict[str, int]) -> list[str]:
+    """The license words from the highest inverse document frequency down."""
+    return sorted(counts, key=lambda w: (counts[w], w))
+
+
+def _strings(values: Sequence[str]) -> Column:
+    return F.array(*map(F.lit, values))
 
 
 def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
     """The frame's columns and n_words, n_base, first_word, last_word, base_labels, labels, score."""
     rows = docs.select(packed(docs), words_of(whole_text(docs)).alias("_words"))
-    index = postings(templates, document_counts(rows.select("_words"), templates))
-    anchors = sorted({a for _, a, _ in index})
-    every = F.when(F.size("_words") > 0, F.sequence(F.lit(0), F.size("_words") - 1)).otherwise(
-        F.array().cast("array<int>"))
-    any_anchor = F.arrays_overlap("_words", F.array(*map(F.lit, anchors)))
-    hits = F.when(any_anchor, F.filter(every, lambda i: F.get("_words", i).isin(anchors))).otherwise(
-        F.array().cast("array<int>"))
-    rows = rows.withColumn("_hits", hits)
-
-    def starts(t: Template, anchor: str, offset: int) -> Column:
-        """Places where the key phrase stands, as starts of the template."""
-        def key_stands(start: Column) -> Column:
-            checks = [F.get("_words", start + t.key_at + k).eqNullSafe(F.lit(w)) for k, w in enumerate(t.key_words)]
-            out = (start + t.key_at) >= 0
-            for check in checks:
-                out = out & check
-            return out
-
-        at = F.transform(F.filter("_hits", lambda i: F.get("_words", i) == anchor), lambda i: i - offset)
-        return F.filter(at, key_stands)
-
-    rows = rows.withColumns({f"_at_{n}": starts(*x) for n, x in enumerate(index)})
-
-    def share(n: int, t: Template) -> Column:
-        """The best share of the template's words that stand at their places."""
-        def agree(start: Column) -> Column:
-            total = F.lit(0)
-            for k, w in enumerate(t.all_words):
-                stands = ((start + k) >= 0) & F.get("_words", F.greatest(start + k, F.lit(0))).eqNullSafe(F.lit(w))
-                total = total + stands.cast("int")
-            return total / F.lit(len(t.all_words))
-
-        if t.base:
-            return F.when(F.size(f"_at_{n}") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-        return F.coalesce(F.array_max(F.transform(f"_at_{n}", agree)), F.lit(0.0))
-
-    def names(picked: Sequence[tuple[int, Template]]) -> Column:
-        held = [F.when(F.size(f"_at_{n}") > 0, F.lit(t.label)) for n, t in picked]
-        return F.concat_ws(",", F.array_sort(F.array_distinct(F.array_compact(F.array(*held)))))
-
-    numbered = [(n, t) for n, (t, _, _) in enumerate(index)]
-    firm = [(n, t) for n, t in numbered if t.base]
-    places = F.concat(*[F.col(f"_at_{n}") for n, _ in firm])
+    by_rank = _strings(ranked_words(document_counts(rows.select("_words"), templates)))
+    keys = F.array(*[_strings(t.key_words) for t in templates])
+    wholes = F.array(*[_strings(t.all_words) for t in templates])
+    key_at = F.array(*[F.lit(t.key_at) for t in templates])
+    labels = _strings([t.label for t in templates])
+    firm = F.array(*[F.lit(t.base) for t in templates])
+    none = F.array().cast("array<int>")
+
+    def upto(n: Column) -> Column:
+        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(none)
+
+    # which templates the file can hold, each with its license words as the file ranks them
+    rows = rows.withColumn("_held", F.array_intersect(by_rank, F.col("_words")))
+    possible = F.filter(F.lit(list(range(len(templates)))), lambda t: F.size(F.array_except(F.get(keys, t), F.col("_held"))) == 0)
+    looked = F.transform(possible, lambda t: F.struct(
+        t.alias("t"), F.slice(F.array_intersect(F.col("_held"), F.get(keys, t)), 1, 2).alias("rare")))
+    rows = rows.withColumn("_looked", F.when(F.size("_held") > 0, looked))
+    rare = F.array_distinct(F.flatten(F.col("_looked.rare")))
+    hits = F.filter(upto(F.size("_words")), lambda i: F.array_contains(rare, F.get("_words", i)))
+    rows = rows.withColumn("_hits", F.when(F.size("_looked") > 0, hits).otherwise(none))
+
+    def starts(t: Column, word: Column) -> Column:
+        """Where template ``t`` would start, by each place of one of its key words."""
+        offsets = F.filter(upto(F.size(F.get(keys, t))), lambda k: F.get(F.get(keys, t), k) == word)
+        places = F.filter("_hits", lambda i: F.get("_words", i) == word)
+        return F.array_distinct(F.flatten(F.transform(
+            offsets, lambda k: F.transform(places, lambda i: i - k - F.get(key_at, t)))))
+
+    def verified(t: Column, start: Column) -> Column:
+        at = start + F.get(key_at, t)
+        return F.when(at >= 0, F.slice("_words", at + 1, F.size(F.get(keys, t))) == F.get(keys, t)).otherwise(F.lit(False))
+
+    def agreeing(t: Column, start: Column) -> Column:
+        whole = F.get(wholes, t)
+        same = F.filter(upto(F.size(whole)), lambda k: F.get("_words", start + k) == F.get(whole, k))
+        return F.size(same) / F.size(whole)
+
+    def found(look: Column) -> Column:
+        t, rare = look["t"], look["rare"]
+        both = F.when(F.size(rare) > 1, F.array_intersect(starts(t, F.get(rare, 0)), starts(t, F.get(rare, 1)))).otherwise(
+            starts(t, F.get(rare, 0)))
+        sure = F.filter(both, lambda start: verified(t, start))
+        return F.transform(sure, lambda start: F.struct(t.alias("t"), start.alias("at"), agreeing(t, start).alias("share")))
+
+    empty = F.array().cast("array<struct<t:int,at:int,share:double>>")
+    rows = rows.withColumn("_found", F.coalesce(F.flatten(F.transform("_looked", found)), empty))
+    rows = rows.withColumn("_base", F.filter("_found", lambda x: F.get(firm, x["t"])))
+
+    def names(column: str) -> Column:
+        return F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(column, lambda x: F.get(labels, x["t"])))))
+
     return rows.select(
-        *unpacked(docs, *MADE), F.size("_words").cast("long").alias("n_words"), F.size(places).cast("long").alias("n_base"),
-        F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
-        names(firm).alias("base_labels"), names(numbered).alias("labels"),
-        F.greatest(*[share(n, t) for n, t in numbered]).alias("score"))
+        *unpacked(docs, *MADE), F.size("_words").cast("long").alias("n_words"), F.size("_base").cast("long").alias("n_base"),
+        F.array_min("_base.at").cast("long").alias("first_word"), F.array_max("_base.at").cast("long").alias("last_word"),
+        names("_base").alias("base_labels"), names("_found").alias("labels"),
+        F.coalesce(F.array_max("_found.share"), F.lit(0.0)).alias("score"))

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyworks.llm import licenses
 
@@ -10,6 +11,8 @@ TEXTS = [
     "", None, "license", "cc by nc " * 40, "x" * 200_000 + " under the mit license", "Licensed under the Apache License, Version 2.0",
     "Unter K mit the MIT lİcense under THE mit license", "the mit license version 2 under the mit license version 2 0",
     "released under the terms of the GNU General Public License", "gnu general public license", "cc by cc by nc nc",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose", "to deal in free and unencumbered software",
+    "under the terms of the GNU Lesser General Public License; GNU General Public License", "license version apache 2",
     "ünder the mit license, ßunder the mit license",
 ]
 
@@ -40,10 +43,22 @@ def test_against_brute_force(frame):
         (i, t, *brute(t)[:6], round(brute(t)[6], 9)) for i, t in rows)
 
 
-def test_anchor_is_the_rarest_key_word():
-    counts = {w: 5 for t in licenses.TEMPLATES for w in t.key_words} | {"license": 2}
-    found = {t.label: (a, o) for t, a, o in licenses.postings(licenses.TEMPLATES[:1], counts)}
-    assert found == {"mit": ("license", 3)}
+def test_words_rank_by_the_documents_that_hold_them(frame):
+    texts = ["mit license license", "the mit license", "mit", "the license", None, "version"]
+    words = frame(list(enumerate(texts))).select(licenses.words_of(F.coalesce("text", F.lit(""))).alias("_words"))
+    counts = licenses.document_counts(words, licenses.TEMPLATES[:2])
+    assert counts == {"2": 0, "apache": 0, "license": 3, "mit": 3, "the": 2, "under": 0, "version": 1}
+    assert licenses.ranked_words(counts) == ["2", "apache", "under", "version", "the", "license", "mit"]
+
+
+def test_repeated_and_single_key_words(frame):
+    """Key phrases of one word, with a repeated word, and inside each other."""
+    own = [licenses.base("one", "alpha"), licenses.base("twice", "beta alpha beta"),
+           licenses.Template("wide", "x beta beta alpha beta y", "beta alpha")]
+    text = "alpha beta alpha beta alpha beta beta alpha beta y"
+    row = licenses.scan(frame([(1, text)]), own).first()
+    assert (row["n_base"], row["first_word"], row["last_word"]) == (4 + 3, 0, 7)
+    assert (row["base_labels"], row["labels"], row["score"]) == ("one,twice", "one,twice,wide", 1.0)
 
 
 @pytest.mark.parametrize("rows", [[], [(None, None)]])
