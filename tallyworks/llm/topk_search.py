@@ -35,7 +35,7 @@ K, EVERY, SCALE = 5, 50, 256
 #: Candidates of a shard and queries of a block.
 SHARD, QUERIES = 4096, 4096
 #: Candidates visited between two floors, and terms probed at once.
-DOCS, PROBED = 1024, 8
+DOCS, PROBED = 1024, 16
 #: Stands for a null vec_id inside a task.
 UNNAMED = -(2**62)
 LEAST, MOST = -(2**63), 2**63 - 1
@@ -87,19 +87,21 @@ def max_score(queries: np.ndarray, query_ids: np.ndarray, terms: np.ndarray, ids
         query, least, bounds = query[order], least[order], (most - least)[order]
         # scores are counted from the sum of the least contributions
         rest = np.concatenate([np.cumsum(bounds[::-1])[::-1], [0]])
-        others = np.flatnonzero(ids != query_ids[n])
+        other = ids != query_ids[n]
+        others = np.flatnonzero(other)
         floor = 0
         if len(others) > k:
             # the k-th best of some candidates' whole scores is a floor for the k-th best of all
             first = others[np.argpartition(columns[order[0], others] * query[0], len(others) - k)[-k:]]
-            floor = (query @ columns[order][:, first] - least.sum()).min()
+            floor = (terms[first][:, order] @ query - least.sum()).min()
         best: list[tuple] = []
-        for at in range(0, len(others), DOCS):
-            alive = others[at:at + DOCS]
+        for at in range(0, len(ids), DOCS):
             # the bounds from here on stay below the floor: non-essential
             essential = min(int((rest >= floor).sum()), len(order))
-            scores = query[:essential] @ columns[order[:essential, None], alive] - least[:essential].sum()
-            work["postings"] += essential * len(alive)
+            scores = query[:essential] @ columns[:, at:at + DOCS][order[:essential]] - least[:essential].sum()
+            work["postings"] += essential * len(scores)
+            mine = other[at:at + DOCS]
+            alive, scores = np.flatnonzero(mine) + at, scores[mine]
             done = essential
             while len(alive):
                 competing = scores + rest[done] >= floor
