@@ -530,6 +530,22 @@ staged AS (
   FROM (SELECT source_file FROM stg UNION ALL SELECT source_file FROM stg_2) GROUP BY source_file
 )
 SELECT * FROM ({_per_file("after")}) FULL JOIN staged USING (source_file)""",
+        "k_sums_after_reload": f"""WITH {JUDGED},{judged_from(returned, "_2")},
+after AS (
+  SELECT order_date, customer_id, product_id, quantity, discount_rate, discount_amount, net_sales FROM measured
+  WHERE order_id NOT IN (SELECT order_id FROM measured_2)
+  UNION ALL SELECT order_date, customer_id, product_id, quantity, discount_rate, discount_amount, net_sales FROM measured_2
+)
+SELECT 'day' AS report, CAST(order_date AS VARCHAR) AS name, CAST(sum(quantity) AS BIGINT) AS n,
+  CAST(sum(net_sales) AS DOUBLE) AS amount, CAST(sum(discount_amount) AS DOUBLE) AS more FROM after GROUP BY order_date
+UNION ALL SELECT 'product', product_id, CAST(sum(quantity) AS BIGINT), CAST(sum(net_sales) AS DOUBLE),
+  CAST((2 * CAST(sum(discount_rate) * 10000 AS BIGINT) + count(*)) // (2 * count(*)) AS DOUBLE) / 10000
+FROM after GROUP BY product_id
+UNION ALL SELECT 'region', region, count(DISTINCT customer_id), CAST(sum(net_sales) AS DOUBLE),
+  CAST(round(sum(net_sales) / sum(sum(net_sales)) OVER () * 100, 2) AS DOUBLE)
+FROM after JOIN customers USING (customer_id) GROUP BY region
+UNION ALL SELECT 'customer', customer_id, count(*), CAST(sum(net_sales) AS DOUBLE),
+  CAST(max(order_date) - min(order_date) AS DOUBLE) FROM after GROUP BY customer_id""",
         "k_load_report": _load_report(returned),
         "k_fact_preview": f"""WITH {JUDGED}
 SELECT order_id, order_date, customer_id, product_id, {_INPUTS}, {_MEASURES}, row_num, source_file

@@ -15,6 +15,7 @@ from tallyworks.operators import merge as M
 from tallyworks.operators.audit import constraint_audit, orphan_counts, repeated_values
 from tallyworks.plans import analytics as A
 from tallyworks.plans import reconcile as R
+from tallyworks.plans import summaries as S
 from tallyworks.plans.sinks import read_preview, write_preview
 from tallyworks.schemas import PREVIEW_COLUMNS, SALES_FIELDS, TABLES, ddl
 from tallyworks.sources import order_tables as O
@@ -89,10 +90,12 @@ def loaded(load: Load, warehouse: Warehouse, spark: SparkSession, sf_dir: str) -
 FEW_BUCKETS = 2
 
 
-def stored_load(spark: SparkSession, sf_dir: str, keep_feed: bool = False) -> tuple[Load, Warehouse]:
+def stored_load(
+    spark: SparkSession, sf_dir: str, keep_feed: bool = False, sums: bool = False
+) -> tuple[Load, Warehouse]:
     """The feed judged and loaded into a new warehouse."""
     load = judged_load(spark, sf_dir, settle=True, keep_feed=keep_feed)
-    warehouse = Warehouse(spark, load.space.path("warehouse"), FEW_BUCKETS)
+    warehouse = Warehouse(spark, load.space.path("warehouse"), FEW_BUCKETS, sums)
     loaded(load, warehouse, spark, sf_dir)
     return load, warehouse
 
@@ -656,9 +659,9 @@ def k_reload_stale_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _returns_loaded(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, str]:
+def _returns_loaded(spark: SparkSession, sf_dir: str, sums: bool = False) -> tuple[Warehouse, str]:
     """All lines loaded, then the returned ones sent again under one other file name."""
-    load, warehouse = stored_load(spark, sf_dir, keep_feed=True)
+    load, warehouse = stored_load(spark, sf_dir, keep_feed=True, sums=sums)
     feed = load.feed.where("l_returnflag = 'R'").withColumn("source_file", F.lit("returns.csv"))
     second = _judged_again(spark, sf_dir, load, feed)
     return warehouse, loaded(second, warehouse, spark, sf_dir)
@@ -672,6 +675,28 @@ def k_reload_cross_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_file(warehouse.read("fact_sales")).join(staged, "source_file", "full_outer")
 
 
+def k_sums_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 to Q4 after these loads, from the sums that both of them kept up; no fact is read."""
+    warehouse, _ = _returns_loaded(spark, sf_dir, sums=True)
+    people, goods = warehouse.read("dim_customers"), warehouse.read("dim_products")
+    by_day, by_product, by_customer = (warehouse.read(f"sums_by_{key}") for key in ("day", "product", "customer"))
+
+    def shown(report: str, rows: DataFrame, name: str, count: str, amount: str, more: Column) -> DataFrame:
+        return rows.select(F.lit(report).alias("report"), F.col(name).cast("string").alias("name"),
+                           F.col(count).alias("n"), F.col(amount).cast("double").alias("amount"),
+                           more.cast("double").alias("more"))
+
+    return (
+        shown("day", S.revenue_per_day(by_day), "order_date", "units", "net_revenue", F.col("discount_given"))
+        .unionByName(shown("product", S.product_revenue(by_product, goods), "product_id", "units_sold", "net_revenue",
+                           F.col("avg_discount_rate")))
+        .unionByName(shown("region", S.region_revenue(by_customer, people), "region", "customers", "net_revenue",
+                           F.col("pct_of_total")))
+        .unionByName(shown("customer", S.customer_value(by_customer, people), "customer_id", "order_lines", "lifetime_value",
+                           F.datediff("last_order", "first_order")))
+    )
+
+
 def k_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the second of these loads removed, inserted and updated."""
     warehouse, load_id = _returns_loaded(spark, sf_dir)
@@ -802,7 +827,7 @@ QUERIES: dict[str, Query] = {
         s_period_from_filename, s_csv_scan, s_csv_row_numbers, s_file_gate, s_file_shapes, s_reference_shapes, s_json_reference,
         s_array_over_splits, s_json_lines_reference, s_product_reference,
         k_dim_upsert_customers, k_dim_upsert_products, k_surrogate_resolve,
-        k_reload_idempotent, k_reload_stale_removed, k_reload_cross_file, k_load_report, k_fact_preview,
+        k_reload_idempotent, k_reload_stale_removed, k_reload_cross_file, k_sums_after_reload, k_load_report, k_fact_preview,
         k_rejected_records, k_run_log, t_arriving_files, s_records_over_lines,
         c_constraint_audit, c_unique_violations, c_fk_violations, c_stored_constraints,
     )

@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 from tallyworks.operators import merge as M
 from tallyworks.operators.audit import constraint_audit
 from tallyworks.operators.judge import IS_CLEAN, accepted
-from tallyworks.schemas import TABLES, ddl
+from tallyworks.plans.summaries import sums_of
+from tallyworks.schemas import SUMS, TABLES, ddl
 from tallyworks.workspace import Workspace
 
-BY_FILE = ("stg_sales", "fact_sales", "etl_rejected_sales")
+BY_FILE = ("stg_sales", "fact_sales", "etl_rejected_sales", *SUMS)
 BUCKETED = ("stg_sales", "fact_sales")
 DIMENSIONS = {
     "dim_customers": ("customer_id", "customer_key"),
@@ -84,19 +85,23 @@ def replacing_partitions(spark: SparkSession) -> Iterator[None]:
 
 
 class Warehouse:
-    """Tables under one root folder, opened in the session's catalog under a database of their own."""
+    """Tables under one root folder, opened in the session's catalog under a database of their own.
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+    ``buckets`` and ``sums``, whether loads keep up the sums of each file's facts, are settled when a warehouse is made.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, sums: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = f"tallyworks_{hashlib.md5(self.root.encode()).hexdigest()[:12]}"
-        self.buckets = buckets
+        self.buckets, self.sums = buckets, sums
+        self.known = False
 
     # --- tables
 
     @staticmethod
     def _stored(name: str) -> dict[str, str]:
-        columns = REPORT_COLUMNS if name == REPORT else TABLES[name] | STORED_MORE.get(name, {})
+        columns = REPORT_COLUMNS if name == REPORT else (TABLES | SUMS)[name] | STORED_MORE.get(name, {})
         last = Warehouse._partition(name)
         return {c: t for c, t in columns.items() if c != last} | {last: columns[last]}
 
@@ -109,15 +114,19 @@ class Warehouse:
 
     def ensure_tables(self) -> None:
         """Create what is absent and open what another session stored, with the bucket count it was made with."""
+        layout, columns = f"{self.root}/layout", "buckets int, sums boolean"
+        if not self.known:
+            self.spark.createDataFrame([(self.buckets, self.sums)], columns).write.mode("ignore").parquet(layout)
+            stored = self.spark.read.schema(columns).parquet(layout).first()
+            self.buckets, self.sums, self.known = stored["buckets"], bool(stored["sums"]), True
         if self.spark.catalog.databaseExists(self.database):
             return
-        layout = f"{self.root}/layout"
-        self.spark.createDataFrame([(self.buckets,)], "buckets int").write.mode("ignore").parquet(layout)
-        self.buckets = self.spark.read.parquet(layout).first()["buckets"]
         place = self.root.replace("'", "\\'")
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{place}'")
         for name in (*BY_FILE, *DIMENSIONS, LOG, REPORT):
+            if name in SUMS and not self.sums:
+                continue
             buckets = f"CLUSTERED BY (order_id) INTO {self.buckets} BUCKETS" if name in BUCKETED else ""
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.table(name)} ({ddl(self._stored(name))}) USING parquet "
@@ -128,13 +137,13 @@ class Warehouse:
 
     def read(self, name: str) -> DataFrame:
         """The rows of a table."""
-        return self._rows(name).select(*TABLES[name])
+        return self._rows(name).select(*(TABLES | SUMS)[name])
 
     def _rows(self, name: str) -> DataFrame:
         self.ensure_tables()
         rows = self.spark.table(self.table(name))
         # a file without rows keeps an empty line that holds its partition; its key is null
-        return rows.where(F.col(next(iter(TABLES[name]))).isNotNull()) if name in BY_FILE else rows
+        return rows.where(F.col(next(iter((TABLES | SUMS)[name]))).isNotNull()) if name in BY_FILE else rows
 
     def load_report(self, load_id: str | None = None) -> DataFrame:
         """Rows removed, inserted and updated by table, of one load or all."""
@@ -150,7 +159,8 @@ class Warehouse:
             empty = [F.lit(None).cast(t).alias(c) for c, t in columns.items() if c != "source_file"]
             rows = rows.unionByName(files.select(*empty, "source_file"))
             # one output for each bucket of a file; rejects by share of a file. A huge file is many outputs
-            share = F.pmod(F.hash("order_id"), F.lit(self.buckets)) if name in BUCKETED \
+            key = "order_id" if name in BUCKETED else next(iter(columns))
+            share = F.pmod(F.hash(key), F.lit(self.buckets)) if name in BUCKETED or name in SUMS \
                 else F.floor(F.col("row_num") / ROWS_PER_FILE)
             rows = rows.repartition("source_file", share)
         elif name in DIMENSIONS:
@@ -208,7 +218,12 @@ class Warehouse:
         self._replace("stg_sales", staged, files)
         self._replace("etl_rejected_sales", rejects, files)
         touched = files.select("source_file").unionByName(displaced.select("source_file"))
-        self._replace("fact_sales", facts.unionByName(kept), touched)
+        changed = facts.unionByName(kept)
+        if self.sums:
+            # before the facts: a load that runs again finds displaced files only while their facts are the old ones
+            for name, rows in sums_of(changed).items():
+                self._replace(name, rows, touched)
+        self._replace("fact_sales", changed, touched)
         self._replace(REPORT, report)
         self._replace(LOG, runs)
         return self.read(LOG).join(runs.select("run_id"), "run_id", "left_semi")

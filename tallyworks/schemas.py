@@ -139,6 +139,22 @@ TABLES: dict[str, dict[str, str]] = {
     },
 }
 
+# Sums of each file's facts, for a warehouse that keeps them; the key comes first.
+SUMS = {
+    "sums_by_day": {
+        "order_date": "date", "order_lines": "bigint", "units": "bigint", "gross_sales": "decimal(24,2)",
+        "discount_amount": "decimal(24,2)", "net_sales": "decimal(24,2)", "source_file": "string",
+    },
+    "sums_by_product": {
+        "product_key": "bigint", "units": "bigint", "net_sales": "decimal(24,2)", "rates": "decimal(15,4)",
+        "rated": "bigint", "source_file": "string",
+    },
+    "sums_by_customer": {
+        "customer_key": "bigint", "order_lines": "bigint", "net_sales": "decimal(24,2)", "first_order": "date",
+        "last_order": "date", "source_file": "string",
+    },
+}
+
 
 def ddl(columns: dict[str, str]) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in columns.items())
