@@ -20,7 +20,7 @@ def test_every_query_has_its_sql():
 @pytest.mark.parametrize(
     "name",
     ["q2_product_revenue", "q3_region_revenue_share", "q5_rejections_by_reason",
-     "k_rejected_records", "k_dim_upsert_customers", "k_load_report", "r2_measure_recompute",
+     "k_rejected_records", "k_dim_upsert_customers", "k_load_report", "k_sums_after_reload", "r2_measure_recompute",
      "c_fk_violations", "s_file_shapes", "s_reference_shapes"],
 )
 def test_query_matches_its_sql(spark, name):

@@ -7,7 +7,9 @@ from days import TODAY
 from pyspark.sql import functions as F
 
 from tallyworks.operators import audit, merge
+from tallyworks.plans import analytics as A
 from tallyworks.plans import reconcile as R
+from tallyworks.plans import summaries as S
 from tallyworks.plans import warehouse as WH
 from tallyworks.plans.job import run
 from tallyworks.plans.sinks import write_preview, write_rejected
@@ -324,3 +326,33 @@ def test_constraints_count_their_violations(spark):
         "order_id unique": 1, "customer_key references dimension": 1,
     }
     assert set(NULLABLE) == set(TABLES)
+
+
+def test_sums_follow_loads(site):
+    """Sums of the files that a load touches are replaced, of no other; reports from them equal those from facts."""
+    site.warehouse = WH.Warehouse(site.spark, site.warehouse.root, 2, sums=True)
+    site.warehouse.ensure_tables()
+    site.load({
+        "a.csv": csv_text([line(1), line(2, customer_id="C002", quantity="7", discount_rate="0.0333")]),
+        "b.csv": csv_text([line(3, product_id="P002"), line(4, order_date="2026-01-17")]),
+        "c.csv": csv_text([line(5, customer_id="C003")]),
+    })
+    first = set(site.warehouse.read("sums_by_customer").inputFiles())
+    site.load([line(3, quantity="9"), line(6, customer_id="C003")], name="d.csv")
+    second = set(site.warehouse.read("sums_by_customer").inputFiles())
+    assert {f.split("source_file=")[1][0] for f in first - second} == {"b"}
+    assert {f.split("source_file=")[1][0] for f in second - first} == {"b", "d"}
+
+    again = WH.Warehouse(site.spark, site.warehouse.root)  # the layout is the stored one
+    tables = {n: again.read(n) for n in ("fact_sales", "dim_customers", "dim_products", *WH.SUMS)}
+    facts, people, goods = tables["fact_sales"], tables["dim_customers"], tables["dim_products"]
+    pairs = [
+        (A.revenue_per_day(facts), S.revenue_per_day(tables["sums_by_day"])),
+        (A.product_revenue(facts, goods), S.product_revenue(tables["sums_by_product"], goods)),
+        (A.region_revenue(facts, people), S.region_revenue(tables["sums_by_customer"], people)),
+        (A.customer_value(facts, people), S.customer_value(tables["sums_by_customer"], people)),
+    ]
+    assert (again.buckets, again.sums, facts.count()) == (2, True, 6)
+    for whole, kept in pairs:
+        assert whole.columns == kept.columns and whole.collect() == kept.collect()
+        assert "fact_sales" not in kept._jdf.queryExecution().executedPlan().toString()
