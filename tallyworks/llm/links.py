@@ -12,13 +12,15 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.workspace import Workspace
 
 #: Nodes of a block; a task compares two blocks.
 BLOCK = 256
+#: Parts into which a node's neighbours are dealt.
+SALTS = 32
 #: Columns of the incidence matrix held at once.
 COLUMNS = 8192
 
@@ -39,16 +41,24 @@ def components(edges: DataFrame, space: Workspace) -> DataFrame:
                 now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
         before = state
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        large = _with_least(both).filter("b > a").select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
         large = space.settle(large.filter("a != b").distinct(), "large")
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        hung = large.join(least, "a")
+        hung = _with_least(large)
         small = hung.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(
             hung.select("a", F.col("least").alias("b")))
         now = space.settle(small.filter("a != b").distinct(), "small")
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """(a, b, least): the least b of each a. A hub's edges are dealt over SALTS parts; only each part's least one meets
+    the others of the node."""
+    dealt = edges.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    parts = dealt.groupBy("a", "part").agg(F.min("b").alias("low"))
+    # at most SALTS rows of a node
+    least = parts.select("a", "part", F.min("low").over(Window.partitionBy("a")).alias("least"))
+    return dealt.join(least.hint("merge"), ["a", "part"]).select("a", "b", "least")
+
+
 def block_plan(members: DataFrame, threshold: float, space: Workspace) -> DataFrame:
     """(node, task, side) from (node, size, grp): in which comparisons each node takes part."""
     ratio = math.log(1 / threshold)

@@ -1,9 +1,7 @@
 """N-gram Jaccard join by an LSH forest of MinHash signatures with exact verification.
 
-Documents with equal shingle sets form a node. A forest of TREES prefix tries holds the nodes'
-signatures, LABELS minima deep. Two nodes match in a tree at a depth if they share that prefix. Prefixes are shortened
-label by label until ``1 - (1 - s ** depth) ** TREES`` reaches RECALL for the least similarity ``s`` that a
-link of the node can have: small sets allow few values, so theirs stay longer. Nodes that match form
+Documents with equal shingle sets form a node. A forest of sorted prefix tries (``forest.py``) holds the nodes'
+signatures; matched prefixes are shortened by what the tries show until the target recall. Nodes that match form
 candidate groups, and within these every link is verified on the whole shingle sets.
 
 Result: one row per document with class_id (the least doc_id of the documents that links connect),
@@ -17,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,66 +22,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyworks.llm import links
+from tallyworks.llm import forest, links
 from tallyworks.llm.common import content_key, packed, unpacked, whole_text
-from tallyworks.llm.shingles import Permutations, blocks, mixed
+from tallyworks.llm.shingles import blocks
 from tallyworks.workspace import Workspace
 
-THRESHOLD, RECALL = 0.8, 0.999
-TREES, LABELS = 24, 8
+THRESHOLD = 0.8
 #: From (shingles, number of each text's, set sizes, threshold): each text's keys under which it can be met.
-KeysOf = Callable[[np.ndarray, np.ndarray, np.ndarray, float], list[np.ndarray]]
-#: Set sizes from which a link may have any similarity close to the threshold.
-LARGE = 64
+KeysOf = Callable[[np.ndarray, np.ndarray, np.ndarray, float], list]
 #: Parts of the bitmap that texts pass before they are shuffled, 4 KB each.
 BUCKETS = 512
 
 
-def least_similarity(size: int, threshold: float = THRESHOLD) -> float:
-    """The least Jaccard similarity at or over the threshold that a set of this size can have."""
-    if size >= LARGE:
-        return threshold
-    values = [shared / (size + other - shared)
-              for other in range(1, 2 * size + 1) for shared in range(1, min(size, other) + 1)]
-    return min(v for v in values if v >= threshold - 1e-9)
-
-
-def depth_for(similarity: float, trees: int = TREES, labels: int = LABELS, recall: float = RECALL) -> int:
-    """Shorten the prefix from all labels until links of this similarity are met often enough."""
-    depth = labels
-    while depth > 1 and 1 - (1 - similarity**depth) ** trees < recall:
-        depth -= 1
-    return depth
-
-
-@lru_cache(maxsize=1)
-def depths(threshold: float = THRESHOLD) -> list[tuple[int, ...]]:
-    """For each set size up to LARGE the depths of the size itself and of all sizes it can link to."""
-    own = [depth_for(least_similarity(max(n, 1), threshold)) for n in range(2 * LARGE + 1)]
-    return [tuple(sorted({own[m] for m in range(max(1, int(n * threshold)), int(n / threshold) + 2)} | {own[n]}))
-            for n in range(LARGE + 1)]
-
-
 def node_of(shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
     own = np.unique(shingles)
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest(), own
 
 
-def forest_keys(shingles: np.ndarray, number: np.ndarray, sizes: np.ndarray, threshold: float) -> list[np.ndarray]:
-    """For each text the keys of its prefixes, one for each tree and depth that it needs."""
-    labels = Permutations(TREES * LABELS, 1).minima(shingles, number)
-    trees = labels.reshape(len(labels), TREES, LABELS).astype(np.uint64)
-    keys = np.empty((LABELS + 1, len(labels), TREES), np.uint64)
-    keys[0] = mixed(np.arange(1, TREES + 1, dtype=np.uint64))[None, :]
-    for k in range(LABELS):
-        keys[k + 1] = mixed(keys[k] * np.uint64(0x9E3779B97F4A7C15) + trees[:, :, k] + np.uint64(1))
-    by_size = depths(threshold)
-    return [np.concatenate([keys[d, i] for d in by_size[min(int(n), LARGE)]]).view(np.int64) for i, n in enumerate(sizes)]
-
-
-def signed(docs: DataFrame, threshold: float = THRESHOLD, keys_of: KeysOf = forest_keys) -> DataFrame:
-    """doc_id, all columns but the text as ``_row``, ``_key`` of the content, ``_node``, ``_size`` and ``_keys``; no
-    node without words."""
+def signed(docs: DataFrame, threshold: float = THRESHOLD, keys_of: KeysOf | None = None) -> DataFrame:
+    """doc_id, all columns but the text as ``_row``, ``_key`` of the content, ``_node``, ``_size`` and ``_keys`` (without
+    ``keys_of`` the paths of the forest); no node without words."""
+    kind, key = (T.BinaryType(), pa.binary()) if keys_of is None else (T.LongType(), pa.int64())
+    keys_of = keys_of or forest.paths
     others = ["doc_id", "_row", "_key"]
     sent = docs.select("doc_id", packed(docs.drop("text")), F.unhex(content_key(docs)).alias("_key"),
                        whole_text(docs).alias("_whole"))
@@ -99,11 +58,11 @@ def signed(docs: DataFrame, threshold: float = THRESHOLD, keys_of: KeysOf = fore
                 nodes += [n for n, _ in made]
                 sizes += size.tolist()
                 keys += [k if n else None for k, n in zip(found, size, strict=True)]
-            arrays = [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
+            arrays = [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(key))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*others, "_node", "_size", "_keys"])
 
     schema = sent.drop("_whole").schema
-    schema = schema.add("_node", "binary").add("_size", "integer").add("_keys", T.ArrayType(T.LongType()))
+    schema = schema.add("_node", "binary").add("_size", "integer").add("_keys", T.ArrayType(kind))
     return sent.mapInArrow(work, schema)
 
 
@@ -128,25 +87,28 @@ def _shingle_sets(rows: DataFrame) -> DataFrame:
     return sent.mapInArrow(work, sent.drop("_whole").schema.add("shingles", "binary"))
 
 
-def nodes_of(rows: DataFrame) -> DataFrame:
-    """(node, size, copies, doc_id, key, copy_id): copies are counted where they are read, then by node. ``key`` is that
-    of one row with doc_id."""
+def nodes_of(rows: DataFrame, *more: Column) -> DataFrame:
+    """(node, size, copies, doc_id, key, copy_id) and ``more`` aggregates: copies are counted where they are read, then by
+    node. ``key`` is that of one row with doc_id."""
     return rows.filter(F.col("_node").isNotNull()).groupBy(F.col("_node").alias("node")).agg(
         F.first("_size").alias("size"), F.count("*").alias("copies"),
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("_key").alias("key"))).alias("of"),
-        F.min("doc_id").alias("copy_id")).select("node", "size", "copies", "of.doc_id", "of.key", "copy_id")
+        F.min("doc_id").alias("copy_id"), *more).select("*", "of.doc_id", "of.key").drop("of")
 
 
-def candidates(rows: DataFrame, nodes: DataFrame, space: Workspace) -> DataFrame:
-    """(node, size, copies, doc_id, key, grp) of the nodes that match another one somewhere in the forest."""
-    keyed = rows.filter(F.col("_node").isNotNull())
-    spread = keyed.select(F.col("_node").alias("node"), F.explode("_keys").alias("key"))
+def edges_of_keys(rows: DataFrame, space: Workspace) -> DataFrame:
+    """(a, b) from each node to the least one with a key in common."""
+    spread = rows.filter(F.col("_node").isNotNull()).select(F.col("_node").alias("node"), F.explode("_keys").alias("key"))
     met = spread.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least != most")
     met = space.settle(met.select("key", "least"), "matches")
     # sort-merged at every size, as on a cluster: none of these sides has a bound
     edges = spread.join(met.hint("merge"), "key").filter("node != least")
-    groups = space.settle(links.components(edges.select(F.col("node").alias("a"), F.col("least").alias("b")), space)
-                          .withColumnRenamed("root", "grp"), "groups")
+    return edges.select(F.col("node").alias("a"), F.col("least").alias("b"))
+
+
+def candidates(edges: DataFrame, nodes: DataFrame, space: Workspace) -> DataFrame:
+    """(node, size, copies, doc_id, key, grp) of the nodes that ``edges`` (a, b) connect."""
+    groups = space.settle(links.components(edges, space).withColumnRenamed("root", "grp"), "groups")
     held = nodes.join(groups.hint("merge"), "node")
     return space.settle(held.select("node", "grp", "size", "copies", "doc_id", "key"), "candidates")
 
@@ -166,17 +128,25 @@ def _passing(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.filter(byte.bitwiseAND(bit) != 0).select(*docs.columns)
 
 
-def groups(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD, keys_of: KeysOf = forest_keys) -> DataFrame:
+def groups(docs: DataFrame, space: Workspace, threshold: float = THRESHOLD, keys_of: KeysOf | None = None) -> DataFrame:
     """The frame without text, with _node, class_id, copy_id, n_links and _group (the class's key)."""
     others = unpacked(docs.drop("text"), "_node", "class_id", "copy_id", "n_links", "_group")
     rows = space.settle(signed(docs, threshold, keys_of), "signed")
-    return linked(docs, rows, space, threshold).select(*others, "_node", "class_id", "copy_id", "n_links", "_group")
+    return linked(docs, rows, space, threshold, keys_of is None).select(*others, "_node", "class_id", "copy_id", "n_links", "_group")
+
 
+def linked(docs: DataFrame, rows: DataFrame, space: Workspace, threshold: float = THRESHOLD,
+           in_forest: bool = False) -> DataFrame:
+    """``rows`` (doc_id, _key, _node, _size, _keys and others) of ``docs`` with class_id, copy_id, n_links and _group.
 
-def linked(docs: DataFrame, rows: DataFrame, space: Workspace, threshold: float = THRESHOLD) -> DataFrame:
-    """``rows`` (doc_id, _key, _node, _size, _keys and others) of ``docs`` with class_id, copy_id, n_links and _group."""
-    nodes = space.settle(nodes_of(rows), "nodes")
-    found = candidates(rows, nodes, space)
+    ``_keys`` are the paths of the forest, or else keys under which equal ones meet."""
+    if in_forest:
+        nodes = space.settle(nodes_of(rows, F.first("_keys").alias("paths")), "nodes")
+        edges = forest.edges(nodes.select("node", "size", "paths"), space, threshold)
+    else:
+        nodes = space.settle(nodes_of(rows), "nodes")
+        edges = edges_of_keys(rows, space)
+    found = candidates(edges, nodes, space)
     plan = links.block_plan(found.select("node", "size", "grp"), threshold, space)
     # a node's text is that of its row with the least id and key; only rows that repeat both bring it again
     wanted = found.select("node", "copies", F.col("doc_id").alias("of"), "key")

@@ -80,18 +80,6 @@ def test_repeated_rows_and_null_ids(frame, room):
     assert ngram_join.join(frame([(None, text), (None, text)]), room).first()["class_id"] is None
 
 
-def test_prefixes_shorten_until_recall_is_reached():
-    for size in range(1, 200):
-        s, depth = ngram_join.least_similarity(size), ngram_join.depth_for(ngram_join.least_similarity(size))
-        assert 1 - (1 - s**depth) ** ngram_join.TREES >= ngram_join.RECALL
-        assert depth == ngram_join.LABELS or 1 - (1 - s ** (depth + 1)) ** ngram_join.TREES < ngram_join.RECALL
-    assert ngram_join.depth_for(1.0) == ngram_join.LABELS and ngram_join.least_similarity(1) == 1
-    for one in range(1, ngram_join.LARGE):  # the deeper of two prefixes is there on both sides
-        for two in range(one, min(ngram_join.LARGE, int(one / 0.8)) + 1):
-            own = [ngram_join.depth_for(ngram_join.least_similarity(n)) for n in (one, two)]
-            assert max(own) in ngram_join.depths()[one] and max(own) in ngram_join.depths()[two]
-
-
 @settings(max_examples=8, deadline=None)
 @given(edges=st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30))
 def test_components(spark, tmp_path_factory, edges):
