@@ -356,3 +356,17 @@ def test_sums_follow_loads(site):
     for whole, kept in pairs:
         assert whole.columns == kept.columns and whole.collect() == kept.collect()
         assert "fact_sales" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_follow_the_rows_of_the_first_load(site, monkeypatch):
+    assert WH.buckets_for(0) == WH.buckets_for(WH.BUCKETS * WH.ROWS_PER_BUCKET) == WH.BUCKETS
+    assert WH.buckets_for(216_000_000, 2) * WH.ROWS_PER_BUCKET >= 216_000_000
+    monkeypatch.setattr(WH, "ROWS_PER_BUCKET", 2)
+    site.load([line(n) for n in range(1, 25)])
+    opened = WH.Warehouse(site.spark, site.warehouse.root)
+    facts, staged = opened.read("fact_sales"), opened.read("stg_sales")
+    assert (facts.count(), opened.buckets) == (24, 12)
+    # no task of the join in place meets more than its share
+    assert R.recomputed_measures(facts, staged).first()["rows_compared"] == 24
+    site.load([line(1)], "sales_2026_02.csv", on_bad_file="skip")
+    assert WH.Warehouse(site.spark, site.warehouse.root).read("fact_sales").count() == 24
