@@ -29,6 +29,12 @@ from tallyworks.llm.merges import NONE, byte_ranks
 LONG = 64
 
 
+class Pieces(Remembered):
+    """Fewer results than other operators keep, as every core of an executor has a worker with its own."""
+
+    REMEMBERED = 1 << 15
+
+
 class PrefixEncoding:
     """A piece with the last token of each of its prefixes."""
 
@@ -82,8 +88,8 @@ class Coder:
         # the libraries' white space is the Unicode property; Python's adds four control characters
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
                                      .replace(r"\S", r"\P{White_Space}"))
-        self.lasts = Remembered(self._last)
-        self.known = Remembered(self._packed)
+        self.lasts = Pieces(self._last)
+        self.known = Pieces(self._packed)
 
     def extend(self, data: bytes, last: list[int], upto: int | None = None) -> None:
         """Add the last tokens of further prefixes to ``last``."""

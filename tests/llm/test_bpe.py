@@ -70,3 +70,14 @@ def test_appends_and_edits_are_exact(coder):
         assert computed <= len(data) - start + len(new) + 1
     long = bpe.PrefixEncoding(coder, b"the thing " * 1000)
     assert long.replace(10, 12, b"x") < 600
+
+
+def test_a_worker_keeps_a_bounded_share_of_an_executor(monkeypatch):
+    own = bpe.Coder(PATH, PATTERN)
+    for memory in (own.lasts, own.known):
+        # entries of at most LONG bytes or so and their overhead: two halves of 20 MB
+        assert memory.REMEMBERED * 2 * (2 * bpe.LONG + 192) <= 40 << 20
+    monkeypatch.setattr(bpe.Pieces, "REMEMBERED", 3)
+    for text in texts()[:40]:
+        assert own.encode(text) == bpe.coder(PATH, PATTERN).encode(text)
+        assert max(len(own.lasts), len(own.known)) <= 3
