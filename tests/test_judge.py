@@ -245,3 +245,32 @@ def test_one_order_id_on_most_rows(spark, space):
     valid = J.accepted(judged)
     assert valid.where("order_id = 7").count() == 1
     assert valid.count() == 1 + raw.where("row_num % 3 = 0").count()
+
+
+def test_a_plain_row_is_read_by_casts_and_judged_as_any_other(spark, space):
+    """Each text is judged twice: as it is, and with a tab before its order id, which is not plain."""
+    texts = {
+        "order_id": ["7", "000000000000000012", "9999999999999999999", "1_0", ""],
+        "order_date": ["2026-01-31", "2026-02-30", "2026-00-10", "0000-01-01", "2025-12-31", "2199-01-01", "2026-1-5", " 2026-01-05"],
+        "customer_id": ["c001", "C001 ", "Cé", "C-001~", "C 1", ""],
+        "quantity": ["0", "1000", "1001", "999999999", "1234567890", "-2", "+3", "2.0"],
+        "unit_price": ["0", "0.00", "0.01", "25", "25.", ".5", "19.999", "999999999.99", "1234567890.12", "$3", "1e2", "1,0"],
+        "discount_rate": ["0", "0.0", "0.999999999999", "0.9999999999999", "1", "1.00", "00.5", ".5", "-0.1", "0.05\n", "2"],
+    }
+    rows = [GOOD | {field: text} for field, values in texts.items() for text in values]
+    schema = "source_file string, row_num bigint, " + ", ".join(f"{c} string" for c in SALES_FIELDS)
+
+    def judged(mark):
+        raw = [("sales_2026_01.csv", n, *[mark * (c == "order_id") + r[c] for c in SALES_FIELDS])
+               for n, r in enumerate(rows)]
+        raw = spark.createDataFrame(raw, schema)
+        kept = J.parsed(raw).select("row_num", F.col("text").isNull().alias("plain"))
+        out = J.judge(raw, demo_customers(spark), demo_products(spark), TODAY, space)
+        return out.select("row_num", *SALES_FIELDS, "fired").orderBy("row_num").collect(), {r.row_num: r.plain for r in kept.collect()}
+
+    (as_is, plain), (marked, none) = judged(""), judged("\t")
+    assert [tuple(r) for r in as_is] == [tuple(r) for r in marked]
+    assert not any(none.values())
+    assert {"0.01", "0", "0.00", "25", "999999999.99"} == {rows[n]["unit_price"] for n, p in plain.items() if p} - {"25.00"}
+    assert {"2026-01-31", "2026-02-30", "2026-00-10", "2025-12-31", "2199-01-01"} == {
+        rows[n]["order_date"] for n, p in plain.items() if p} - {GOOD["order_date"]}
