@@ -39,7 +39,7 @@ STORED = {"quantity": "int", "unit_price": PRICE, "discount_rate": "decimal(13,1
 # No other rule than those over typed values and an impossible date can fire on it.
 PLAIN_MARK = "\x1f"
 PLAIN_ROW = r"^" + PLAIN_MARK.join([
-    r"[0-9]{1,18}+", r"(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}", r"[!-`{-~]++", r"[!-`{-~]++", r"[0-9]{1,9}+",
+    r"[0-9]{1,18}+", r"(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}", r"[!-`]++", r"[!-`]++", r"[0-9]{1,9}+",
     r"[0-9]{1,9}+(?:\.[0-9]{1,2}+)?+", r"0(?:\.[0-9]{1,12}+)?+",
 ]) + r"\z"
 

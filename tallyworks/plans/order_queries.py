@@ -712,8 +712,9 @@ def k_fact_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def k_rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantined rows with their whole reason text and payload."""
-    load = judged_load(spark, sf_dir, settle=True)
-    rejects = J.settled_rejects(load.judged, O.TODAY, load.space)
+    load = judged_load(spark, sf_dir)
+    marked = load.space.settle(load.judged.where(f"not ({J.IS_CLEAN})"), "marked")
+    rejects = J.settled_rejects(marked, O.TODAY, load.space)
     return rejects.select("source_file", "row_num", "reason_code", "reason_detail", "raw_payload")
 
 
