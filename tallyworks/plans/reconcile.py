@@ -94,19 +94,13 @@ def orphans(facts: DataFrame, customers: DataFrame, products: DataFrame) -> Data
 def both_or_neither(runs: DataFrame, staged: DataFrame, rejects: DataFrame) -> DataFrame:
     """Check 4, for each given run: rows both staged and rejected, and rows that are neither.
 
-    The rejected side is not limited to the run. Both sides are counted per line before the
-    join, so a line that repeats adds its pairs without producing them.
+    The rejected side is not limited to the run, and is counted per line before the join, so a
+    line that repeats adds its pairs without producing them.
     """
     line = ["source_file", "row_num"]
-    left = staged.select("run_id", *line, F.lit(1).alias("s"), F.lit(0).alias("r"))
-    right = rejects.select(F.lit(None).cast("string").alias("run_id"), *line, F.lit(0).alias("s"), F.lit(1).alias("r"))
-    # both sides meet in one grouping by line, after partial counts
-    lines = left.unionByName(right).groupBy(*line, "run_id").agg(F.sum("s").alias("s"), F.sum("r").alias("r"))
-    lines = lines.groupBy(*line).agg(
-        F.collect_list(F.when(F.col("s") > 0, F.struct("run_id", "s"))).alias("runs"), F.sum("r").alias("r"))
-    pairs = lines.where("r > 0").select(F.inline("runs"), "r").groupBy("run_id").agg(
-        F.sum(F.col("s") * F.col("r")).alias("in_both")
-    )
+    # a line rejected once or more, with how often, meets each of its staged rows: one row for each of these
+    often = rejects.groupBy(*line).agg(F.count(F.lit(1)).alias("r"))
+    pairs = staged.select("run_id", *line).join(often, line).groupBy("run_id").agg(F.sum("r").alias("in_both"))
     counted = (
         runs.select("run_id", "source_file", "rows_extracted")
         .join(pairs, "run_id", "left")

@@ -368,3 +368,13 @@ def test_buckets_follow_the_rows_of_the_first_load(site, monkeypatch):
     assert (facts.count(), opened.buckets) == (24, 12)
     # no task of the join in place meets more than its share
     assert R.recomputed_measures(facts, staged).first()["rows_compared"] == 24
+
+
+def test_lines_both_staged_and_rejected_are_counted_without_lists(spark):
+    runs = spark.createDataFrame([("a", "f", 5), ("b", "f", 4)], "run_id string, source_file string, rows_extracted bigint")
+    at = "run_id string, source_file string, row_num bigint"
+    staged = spark.createDataFrame([("a", "f", 2), ("a", "f", 2), ("b", "f", 2), ("b", "f", 3), ("a", "g", 4)], at)
+    rejects = spark.createDataFrame([("b", "f", 2), ("b", "f", 2), ("a", "f", 4), ("a", "g", 4)], at)
+    both = R.both_or_neither(runs, staged, rejects)
+    assert {(r.in_both, r.in_neither) for r in both.collect()} == {(5, 0), (2, 0)}
+    assert "collect_list" not in both._jdf.queryExecution().optimizedPlan().toString()
