@@ -370,6 +370,16 @@ def test_buckets_follow_the_rows_of_the_first_load(site, monkeypatch):
     assert R.recomputed_measures(facts, staged).first()["rows_compared"] == 24
 
 
+def test_order_ids_are_not_brought_together_where_no_other_file_is_stored(site, monkeypatch):
+    calls = []
+    doomed = merge.doomed_orders
+    monkeypatch.setattr(merge, "doomed_orders", lambda *args: calls.append(1) or doomed(*args))
+    site.load([line(1), line(2)])
+    assert calls == [] and site.totals()[0] == 2
+    same, other = (site.spark.createDataFrame([(f,)], "source_file string") for f in ("sales_2026_01.csv", "b.csv"))
+    assert site.warehouse._holds_no_other(same) and not site.warehouse._holds_no_other(other)
+
+
 def test_lines_both_staged_and_rejected_are_counted_without_lists(spark):
     runs = spark.createDataFrame([("a", "f", 5), ("b", "f", 4)], "run_id string, source_file string, rows_extracted bigint")
     at = "run_id string, source_file string, row_num bigint"
