@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 from days import TODAY
 from pyspark.sql import functions as F
@@ -274,3 +275,26 @@ def test_a_plain_row_is_read_by_casts_and_judged_as_any_other(spark, space):
     assert {"0.01", "0", "0.00", "25", "999999999.99"} == {rows[n]["unit_price"] for n, p in plain.items() if p} - {"25.00"}
     assert {"2026-01-31", "2026-02-30", "2026-00-10", "2025-12-31", "2199-01-01"} == {
         rows[n]["order_date"] for n, p in plain.items() if p} - {GOOD["order_date"]}
+
+
+def test_the_year_month_of_a_file_name_is_read_once(spark, space):
+    rows = J.parsed(space.settle(demo_rows(spark, 10), "feed")).withColumn("fired", J.bits_of(J.row_rules(TODAY, 1000))).select("row_num", "fired")
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(source_file") == 1
+
+
+def test_judged_rows_keep_raw_fields_of_rejects_and_are_joined_by_order_id_first(spark, space):
+    raw = demo_rows(spark, 200)
+    judged = J.judge(raw, demo_customers(spark), demo_products(spark), TODAY, space)
+    assert judged.where("(fired = 0) <> (raw is null)").count() == 0
+    kept = judged.where("fired <> 0").select("row_num", "raw.*")
+    assert kept.exceptAll(raw.select("row_num", *SALES_FIELDS)).count() == 0 < kept.count()
+    joins = judged._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter, ")
+    assert any(j.startswith("((order_id#") for j in joins)
+
+
+def test_a_table_can_be_settled_without_dictionaries(spark, space):
+    rows = spark.range(1000).select(F.concat(F.lit("a"), F.col("id") % 3).alias("text"))
+    for dictionary in (True, False):
+        path = space.settle(rows, "rows", dictionary=dictionary).inputFiles()[0].removeprefix("file:")
+        encodings = pq.ParquetFile(path).metadata.row_group(0).column(0).encodings
+        assert any("DICTIONARY" in e for e in encodings) is dictionary
