@@ -116,9 +116,10 @@ def both_or_neither(runs: DataFrame, staged: DataFrame, rejects: DataFrame) -> D
 
 def missing_lines(extracted: DataFrame, staged: DataFrame, rejects: DataFrame) -> DataFrame:
     """The extracted lines that are neither staged nor rejected: file and line."""
-    line = ["source_file", "row_num"]
+    # numbers first: a sort compares its first key by far the fastest, and file names hardly differ
+    line = ["row_num", "source_file"]
     found = staged.select(*line).unionByName(rejects.select(*line))
-    return extracted.select(*line).join(found, line, "left_anti")
+    return extracted.select(*line).join(found, line, "left_anti").select("source_file", "row_num")
 
 
 def additivity_gap(facts: DataFrame, expected: Decimal | str) -> DataFrame:

@@ -388,3 +388,14 @@ def test_lines_both_staged_and_rejected_are_counted_without_lists(spark):
     both = R.both_or_neither(runs, staged, rejects)
     assert {(r.in_both, r.in_neither) for r in both.collect()} == {(5, 0), (2, 0)}
     assert "collect_list" not in both._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_missing_lines_are_looked_up_by_number_first(spark):
+    lines = spark.range(2, 8).select(F.lit("f").alias("source_file"), F.col("id").alias("row_num"))
+    lines = lines.unionByName(lines.withColumn("source_file", F.lit("g")))
+    staged, rejects = lines.where("source_file = 'f' and row_num < 5"), lines.where("source_file = 'g' and row_num > 3")
+    missing = R.missing_lines(lines, staged, rejects)
+    assert missing.columns == ["source_file", "row_num"]
+    assert {tuple(r) for r in missing.collect()} == {("f", 5), ("f", 6), ("f", 7), ("g", 2), ("g", 3)}
+    plan = missing._jdf.queryExecution().analyzed().toString()
+    assert plan.split("Join LeftAnti, ")[1].startswith("((row_num#")
