@@ -380,6 +380,18 @@ def _written_feed(spark: SparkSession, feed: DataFrame, space: Workspace) -> str
     return path
 
 
+def _write_headed(rows: DataFrame, line: Column, header: str, folder: str, end: str = "\n") -> None:
+    """The lines as text files, one for each task that has any, the header before its first line.
+
+    They lie below a partition value, as the first task would otherwise write a file without a byte where its split
+    has no row, and a file without a header is refused.
+    """
+    first = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    headed = F.when(first, F.concat(F.lit(header + end), line)).otherwise(line)
+    rows.withColumn("_at", F.monotonically_increasing_id()).select(headed.alias("value"), F.lit("headed").alias("lines")) \
+        .write.option("lineSep", end).partitionBy("lines").text(folder)
+
+
 def s_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed written as sales files and read back: every field as it was."""
     space = Workspace(spark)
@@ -412,12 +424,7 @@ def s_file_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     short, wide = space.path("short"), space.path("wide")
     feed.select(*SALES_FIELDS[:-1]).write.option("header", True).csv(short)
     line = F.concat(_csv_line([F.col(c) for c in SALES_FIELDS]), F.lit(","))
-    header = F.lit(",".join(SALES_FIELDS))
-    # the header is written with the first line of each task, so every file starts with it
-    first = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) == 0
-    feed.withColumn("_at", F.monotonically_increasing_id()).select(
-        F.when(first, F.concat(header, F.lit("\n"), line)).otherwise(line).alias("value")
-    ).write.text(wide)
+    _write_headed(feed, line, ",".join(SALES_FIELDS), wide)
     parts = []
     for shape, folder in (("sound", path), ("short", short), ("wide", wide)):
         _, gate = read_sales(spark, folder, space, on_bad_file="skip")
@@ -441,20 +448,13 @@ SHORT_EVERY, BLANK_EVERY = 41, 50
 def s_file_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed written with a byte order mark, a turned header, CRLF ends, short and blank lines."""
     space = Workspace(spark)
-    feed = space.settle(
-        O.raw_feed(spark, sf_dir, space).withColumn("_at", F.monotonically_increasing_id()), "feed"
-    )
+    feed = space.settle(O.raw_feed(spark, sf_dir, space), "feed")
     line = _csv_line([F.col(c) for c in TURNED])
     short = _csv_line([F.col(c) for c in TURNED[:-1]])
     line = F.when(F.col("row_num") % SHORT_EVERY == 0, short).otherwise(line)
     line = F.when(F.col("row_num") % BLANK_EVERY == 0, F.concat(line, F.lit("\r\n"))).otherwise(line)
-    header = F.lit("\ufeff" + ",".join(TURNED) + "\r\n")
-    first = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) == 0
     folder = space.path("shapes")
-    # numbered again where it is written: each task's first line brings the header
-    feed.drop("_at").withColumn("_at", F.monotonically_increasing_id()).select(
-        F.when(first, F.concat(header, line)).otherwise(line).alias("value")
-    ).write.option("lineSep", "\r\n").text(folder)
+    _write_headed(feed, line, "\ufeff" + ",".join(TURNED), folder, end="\r\n")
     rows, _ = read_sales(spark, folder, space)
     return rows.select(*SALES_FIELDS)
 
