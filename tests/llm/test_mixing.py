@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tallyworks.llm import mixing
+from tallyworks.llm import mixing, queries
 
 
 def brute_targets(sizes, weights=(1, 2, 3)):
@@ -84,3 +84,26 @@ def test_a_source_of_one_long_document_stays(frame, room):
     planned = {r["doc_id"]: r for r in mixing.plan(docs, room, weights=(1, 9, 1)).collect()}
     assert 0 < planned[0]["taken"] * 2 < planned[0]["size"]
     assert [r["doc_id"] for r in mixing.train_order(docs, room, weights=(1, 9, 1)).collect()].count(0) == 1
+
+
+def test_the_query_writes_the_training_order(frame, room, rows):
+    """The sequence holds every place of every document by time, and the query's rows are made from it."""
+    docs = frame(rows)
+    planned = mixing.plan(docs, room).collect()
+    ordered = [r.place for r in mixing.sequence(docs, room).collect()]
+    times = [p.time for p in ordered if p is not None]
+    assert times == sorted(times) and all(p is None for p in ordered[len(times):])
+    assert Counter(tuple(p) for p in ordered if p) == Counter(tuple(p) for r in planned for p in r.places)
+    assert ordered.count(None) == sum(not r.places for r in planned)
+    found = mixing.summed_up(mixing.sequence(docs, room)).collect()
+    assert Counter(tuple(r) for r in found) == Counter(
+        (r.doc_id, r["size"], r.source_size, r.target, r.taken, len(r.places), min((p.time for p in r.places), default=None))
+        for r in planned)
+
+
+def test_op9_sorts_its_places_by_time(spark, monkeypatch):
+    """The registered query goes through the whole sequence, not the plan alone."""
+    seen, whole = [], mixing.sequence
+    monkeypatch.setattr(mixing, "sequence", lambda *a, **k: seen.append(whole(*a, **k)) or seen[-1])
+    found = queries.op9_mixing(spark, "/root/testdata/sf0.001")
+    assert seen[0].where("place is not null").count() == found.agg({"n_epochs": "sum"}).first()[0] > found.count()
