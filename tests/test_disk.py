@@ -3,11 +3,13 @@
 import os
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from days import TODAY
 from pyspark.sql import functions as F
 
 from tallyworks.operators import judge as J
+from tallyworks.plans import order_queries
 from tallyworks.plans.order_queries import stored_load
 from tallyworks.schemas import SALES_FIELDS
 from tallyworks.sources.demo_feed import demo_customers, demo_products
@@ -73,3 +75,16 @@ def test_rows_under_judgement_hold_no_text_twice(spark, tmp_path):
     J.judge(raw, demo_customers(spark), demo_products(spark), TODAY, space)
     [folder] = [d for d in os.listdir(space.root) if d.startswith("rows-")]
     assert spark.read.parquet(f"{space.root}/{folder}").first().raw is None
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables here")
+def test_files_of_records_over_lines_leave_no_feed(spark, monkeypatch):
+    """The feed goes once its files are written, and landed lines and put together records are compact."""
+    made = []
+    monkeypatch.setattr(order_queries, "Workspace", lambda spark: made.append(Workspace(spark)) or made[-1])
+    assert order_queries.s_records_over_lines(spark, SMALL).count() > 0
+    left = [os.path.join(d, f) for d, _, files in os.walk(made[0].root) for f in files if f.endswith(".parquet")]
+    assert not [f for f in left if "/feed-" in f]
+    for name in ("/lines-", "/pieces-"):
+        assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in left
+                if name in f and pq.ParquetFile(f).metadata.num_row_groups} == {"ZSTD"}
